@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from .volume_queries import ORACLES, QUERIES
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 FLAGSHIP = "px_8bit_block_max"
+
+__all__ = ["FLAGSHIP", "ORACLES", "QUERIES"]
