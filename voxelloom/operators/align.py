@@ -25,6 +25,14 @@ def offsets(spark, dy: int, dx: int) -> DataFrame:
     return spark.range((2 * dy + 1) * w).select((F.floor(F.col("id") / w) - dy).cast("int").alias("dy"), (F.col("id") % w - dx).cast("int").alias("dx"), F.col("id").cast("int").alias("ord"))
 
 
+def pearson(a: Column, b: Column) -> Column:
+    """Correlation of the rows where both are there; 0 where one side is flat."""
+    both = a.isNotNull() & b.isNotNull()
+    a, b = F.when(both, a), F.when(both, b)
+    spread = F.stddev_pop(a) * F.stddev_pop(b)
+    return F.coalesce(F.when(spread > 0, F.covar_pop(a, b) / spread), F.lit(0.0))
+
+
 def correlations(a: DataFrame, b: DataFrame, cand: DataFrame, key: str, dark: float | None = None) -> DataFrame:
     """(key, ord, dy, dx, score, n): Pearson correlation of two planes (key, y, x, v) at each offset of b.
 
@@ -34,11 +42,11 @@ def correlations(a: DataFrame, b: DataFrame, cand: DataFrame, key: str, dark: fl
     moved = b.select(key, (F.col("y")).alias("by"), F.col("x").alias("bx"), F.col("v").cast("double").alias("bv")).crossJoin(F.broadcast(cand))  # the candidates are a window of fixed size
     pairs = moved.withColumn("y", F.col("by") + F.col("dy")).withColumn("x", F.col("bx") + F.col("dx")).join(a.select(key, "y", "x", F.col("v").cast("double").alias("av")), [key, "y", "x"])
     if dark is None:
-        out = pairs.groupBy(key, "ord", "dy", "dx").agg(F.corr("av", "bv").alias("score"), F.count(F.lit(1)).alias("n"))
+        out = pairs.groupBy(key, "ord", "dy", "dx").agg(pearson(F.col("av"), F.col("bv")).alias("score"), F.count(F.lit(1)).alias("n"))
     else:
         lit = (F.col("av") > dark) & (F.col("bv") > dark)
-        out = pairs.groupBy(key, "ord", "dy", "dx").agg(F.corr(F.when(lit, F.col("av")), F.when(lit, F.col("bv"))).alias("score"), F.count(F.lit(1)).alias("all"), F.count_if(lit).alias("n")).filter(F.col("n") >= F.sqrt(F.col("all"))).drop("all")
-    return out.withColumn("score", F.when(F.col("score").isNull() | F.isnan("score"), 0.0).otherwise(F.col("score")))
+        out = pairs.groupBy(key, "ord", "dy", "dx").agg(pearson(F.when(lit, F.col("av")), F.when(lit, F.col("bv"))).alias("score"), F.count(F.lit(1)).alias("all"), F.count_if(lit).alias("n")).filter(F.col("n") >= F.sqrt(F.col("all"))).drop("all")
+    return out
 
 
 def best_offset(scores: DataFrame, key: str, digits: int | None = None) -> DataFrame:
