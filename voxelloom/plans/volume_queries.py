@@ -131,9 +131,9 @@ def axis_average(spark, sf_dir):
     return reduce.axis_average(planes(spark, sf_dir), "x", 4, fourth_root=True).select("z", "y", "x", F.round("v", 6).alias("v"))
 
 
-@query(f"""with {VX} select case when grouping(z) = 1 then 'xy' when grouping(y) = 1 then 'xz' else 'yz' end as face, z, y, x, cast(max(v) as integer) as v from vx group by grouping sets ((y, x), (z, x), (z, y))""")
+@query(f"""with {VX} select case when grouping(z) = 1 then 'xy' when grouping(y) = 1 then 'xz' else 'yz' end as face, coalesce(z, -1) as z, coalesce(y, -1) as y, coalesce(x, -1) as x, cast(max(v) as integer) as v from vx group by grouping sets ((y, x), (z, x), (z, y))""")
 def mip_grouping_sets(spark, sf_dir):
-    return reduce.projections(voxels(spark, sf_dir)).select("face", "z", "y", "x", "v")
+    return reduce.projections(voxels(spark, sf_dir)).select("face", *(F.coalesce(c, F.lit(-1)).alias(c) for c in ("z", "y", "x")), "v")
 
 
 @query(f"""with {VX} select case when grouping(z) = 0 then 'z' when grouping(y) = 0 then 'y' else 'x' end as axis, coalesce(z, y, x) as place, cast(sum(v) as double) as total, cast(max(v) as integer) as top from vx group by grouping sets ((z), (y), (x))""")
@@ -647,10 +647,10 @@ def mask_components(spark, sf_dir):
     return place.connected(cells).agg(F.count(F.lit(1)).alias("cells"))
 
 
-@query("""select event_type, date_trunc('hour', ts) as start, cast(count(*) as bigint) as n, round(sum(value), 6) as total from events group by all""")
+@query("""select event_type, strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') as start, cast(count(*) as bigint) as n, round(sum(value), 6) as total from events group by all""")
 def event_windows(spark, sf_dir):
     w = table(spark, sf_dir, "events").groupBy(F.window("ts", "1 hour"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 6).alias("total"))
-    return w.select("event_type", F.col("window.start").cast(table(spark, sf_dir, "events").schema["ts"].dataType).alias("start"), "n", "total")
+    return w.select("event_type", F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("start"), "n", "total")
 
 
 # kernels: no SQL, tested against direct numpy versions
