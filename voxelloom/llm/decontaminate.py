@@ -237,7 +237,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 10, bl
 
 def digest(found: DataFrame) -> DataFrame:
     items = F.array_join("items", ",")
-    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(items, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), F.array_max("longest").alias("longest_match"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(items, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), F.coalesce(F.array_max("longest"), F.lit(0)).alias("longest_match"))
 
 
 def item_digest(ids: list[str]) -> str:

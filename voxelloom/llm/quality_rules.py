@@ -45,7 +45,7 @@ def rules() -> list[Rule]:
     kept = lambda pattern: F.length(F.regexp_replace("text", pattern, ""))
     return [
         Rule("symbols", _share(c("n_symbols"), 10, c("word_chars"))),
-        Rule("duplicate_lines", _share(c("n_dup_lines"), 30, c("n_lines"))),
+        Rule("duplicate_lines", (c("n_dup_lines") >= 3) & _share(c("n_dup_lines"), 30, c("n_lines"))),
         Rule("word_length", (c("word_chars") < 2 * c("n_words")) | (c("word_chars") > 15 * c("n_words"))),
         Rule("capitals", _share(kept("[^A-Z]+"), 50, c("word_chars"))),
         Rule("letters", 100 * kept(r"[^\p{L}]+") < 50 * c("word_chars")),

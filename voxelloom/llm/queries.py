@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, mixing, near_dedup, pseudonyms, quality, quality_rules, secrets, token_counts, toxicity
+from . import decontaminate, language, mixing, near_dedup, oracles, pseudonyms, quality, quality_rules, secrets, token_counts, toxicity
 from .storage import table
 
 #: Public vocabulary file; a path on the driver.
@@ -68,4 +68,4 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_quality, op2_language, op3_minhash, op4_toxicity, op5_pseudonyms, op6_token_counts, op7_secrets, op8_decontaminate, op9_quality_rules, op10_mixing,
 )}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_minhash": oracles.NEAR_DEDUP, "op8_decontaminate": oracles.DECONTAMINATE, "op9_quality_rules": oracles.QUALITY_RULES}

@@ -1,30 +1,12 @@
-"""Intermediate tables in the folder that all executors share."""
+"""Tables in and between operators."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-_SETTING = "spark.checkpoint.dir"
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by the session; a folder of this machine only where none is named, as in tests."""
-    named = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
-    if not named:
-        named = tempfile.mkdtemp(prefix="voxelloom-")
-        spark.conf.set(_SETTING, named)
-    return named.rstrip("/")
-
+from ..plans.scratch import shared_dir, written
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """`df` as a Parquet table in the shared folder: cuts the lineage, and survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/voxelloom-{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["shared_dir", "table", "written"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
