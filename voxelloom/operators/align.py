@@ -171,3 +171,9 @@ def layers(edges: DataFrame) -> DataFrame:
     w, all_ = Window.orderBy("layer").rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy()
     out = edges.select("layer", *(F.sum(c).over(w).alias(c) for c in ("v", "h", "d")))
     return out.select("layer", *((F.col(c) - F.least(F.lit(0), F.min(c).over(all_))).alias(c) for c in ("v", "h")), "d", *((F.greatest(F.lit(0), F.max(c).over(all_)) - F.least(F.lit(0), F.min(c).over(all_))).alias(f"grow_{c}") for c in ("v", "h")))
+
+
+def most_reliable_layer(edges: DataFrame, keys: list[str]) -> DataFrame:
+    """The layer of the greatest total reliability of each edge; the last one of ties."""
+    total = edges.groupBy(*keys, "layer").agg(F.sum("reliability").alias("total"))
+    return total.groupBy(*keys).agg(F.max(F.struct("total", "layer")).alias("b")).select(*keys, "b.layer", "b.total")

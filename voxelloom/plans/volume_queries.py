@@ -552,6 +552,45 @@ def union_distinct(spark, sf_dir):
     return a.unionByName(table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("n"), F.lit("SUPPLIER").alias("s"))).dropDuplicates()
 
 
+@query("""with t as (select l_orderkey % 97 as k, l_linenumber as layer, sum(cast(round(l_discount * 100) as integer) % 3) as total from lineitem group by all)
+select k, cast(max(struct_pack(t := total, l := layer)).l as integer) as layer, cast(max(struct_pack(t := total, l := layer)).t as bigint) as total from t group by k""")
+def last_tie_layer(spark, sf_dir):
+    e = table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") % 97).alias("k"), F.col("l_linenumber").cast("int").alias("layer"), (F.round(F.col("l_discount") * 100).cast("int") % 3).alias("reliability"))
+    return align.most_reliable_layer(e, ["k"])
+
+
+@query("""select distinct source from documents where doc_id % 2 = 0 except select source from documents where doc_id % 3 = 1 and source <> 'src4'""")
+def channel_validation(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    return inventory.unknown_channels(d.filter("doc_id % 2 = 0"), d.filter("doc_id % 3 = 1 and source <> 'src4'"), "source")
+
+
+@query("""select o_orderkey, o_orderpriority, cast(case o_orderpriority when '2-HIGH' then 0 when '5-LOW' then 1 else 2 end as integer) as ord from orders""")
+def channel_priority(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", inventory.channel_order(F.col("o_orderpriority"), ["2-HIGH", "5-LOW"]).alias("ord"))
+
+
+@query("""with o as (select c_custkey, ['4x', '8x', '9x', '10x', '15x', '40x', '63x'][c_custkey % 7 + 1] as objective from customer), m(objective, voxel, tile_width) as (values ('4x', 2.0::double, 1600), ('8x', 1.0, 2000), ('9x', 0.8, 2000), ('10x', 0.6, 2000), ('15x', 0.422, 2000), ('40x', 0.14, 2048))
+select c_custkey, objective, coalesce(voxel, -1.0) as voxel, coalesce(tile_width, -1) as tile_width from o left join m using (objective)""")
+def objective_lookup(spark, sf_dir):
+    names_ = F.array(*map(F.lit, ["4x", "8x", "9x", "10x", "15x", "40x", "63x"]))
+    c = table(spark, sf_dir, "customer").select("c_custkey", F.element_at(names_, (F.col("c_custkey") % 7 + 1).cast("int")).alias("objective"))
+    return inventory.with_objective(c, "objective").select("c_custkey", "objective", F.coalesce("voxel", F.lit(-1.0)).alias("voxel"), F.coalesce("tile_width", F.lit(-1)).alias("tile_width"))
+
+
+@query("""with p as (select l_suppkey, l_orderkey as v, row_number() over (partition by l_suppkey order by l_orderkey) as k from (select distinct l_suppkey, l_orderkey from lineitem)) select l_suppkey, (max(v) - min(v)) / 10.0 as z_step from p where k <= 2 group by 1""")
+def first_z_step(spark, sf_dir):
+    p = table(spark, sf_dir, "lineitem").select("l_suppkey", F.format_string("/data/%08d.tif", "l_orderkey").alias("path")).distinct()
+    return inventory.z_step(p, ["l_suppkey"])
+
+
+@query("""with t as (select c_custkey, c_custkey * 150 % 9000 as px, c_nationkey * 40 as py from customer) select c_custkey, cast(trunc((px - min(px) over ()) / 0.5 / 10) as integer) as x0, cast(trunc((py - min(py) over ()) / 0.25 / 10) as integer) as y0 from t""")
+def tile_tree(spark, sf_dir):
+    x, y = F.col("c_custkey") * 150 % 9000, F.col("c_nationkey") * 40
+    p = table(spark, sf_dir, "customer").select(F.concat(F.lit("/r/"), x.cast("string"), F.lit("/"), x.cast("string"), F.lit("_"), y.cast("string"), F.lit("/"), F.col("c_custkey").cast("string"), F.lit(".tif")).alias("path"))
+    return inventory.tile_tree(p, 0.5, 0.25).select(N.stem(F.col("path")).cast("long").alias("c_custkey"), "x0", "y0")
+
+
 # tracings
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.names import natural_key, stem, tile_position
+from ..model import OBJECTIVES
 
 
 def files(spark: SparkSession, folder: str, pattern: str = ".*") -> DataFrame:
@@ -98,3 +99,22 @@ def rebased_names(paths: DataFrame) -> DataFrame:
     all_ = Window.partitionBy()
     pad = lambda c: F.lpad((F.col(c) - F.min(c).over(all_)).cast("string"), 6, "0")
     return p.select("path", F.concat(pad("x"), F.lit("/"), pad("x"), F.lit("_"), pad("y")).alias("folder"))
+
+
+def unknown_channels(wanted: DataFrame, available: DataFrame, channel: str) -> DataFrame:
+    """Requested channels that don't exist."""
+    return wanted.select(channel).distinct().join(available.select(channel).distinct(), channel, "left_anti")
+
+
+def channel_order(channel: Column, first: list[str]) -> Column:
+    """Sorts a priority list of channels first and the others after it."""
+    out = F.lit(len(first))
+    for k, name in reversed(list(enumerate(first))):
+        out = F.when(channel == name, k).otherwise(out)
+    return out
+
+
+def with_objective(df: DataFrame, objective: str) -> DataFrame:
+    """Voxel size and tile width of each row's objective; null for one that isn't known."""
+    dims = df.sparkSession.createDataFrame([(k, v, w) for k, (v, w) in OBJECTIVES.items()], f"{objective} string, voxel double, tile_width int")
+    return df.join(F.broadcast(dims), objective, "left")  # a fixed list of six
