@@ -27,6 +27,7 @@ def test_plans_push_filters_and_prune_columns(spark, tmp_path):
     from voxelloom.sources.readers import crop
 
     spark.range(100).selectExpr("cast(id as int) z", "0 y", "0 x", "1 v", "0 channel", "0 res", "'unused' note").write.parquet(str(tmp_path / "v"))
+    spark.conf.set("spark.sql.maxMetadataStringLength", 10_000)
     plan = crop(spark.read.parquet(str(tmp_path / "v")), (10, 0, 0), (5, 0, 0), 0, 0).select("z", "v")._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(z,10)" in plan and "note" not in plan
 
