@@ -25,3 +25,13 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_dir(spark)}/voxelloom-{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes written tables that nothing will read again: what came from them must be written itself."""
+    for df in tables:
+        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if "/voxelloom-" in path:
+                spark = df.sparkSession
+                at = spark._jvm.org.apache.hadoop.fs.Path(path)
+                at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
