@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import written
+from .storage import discard, written
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -23,6 +23,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         lower = labels.join(around, "node").select("node", F.least("label", "near").alias("next"), F.col("label").alias("old"))
         ahead = labels.select(F.col("node").alias("next"), F.col("label").alias("jump"))
         moved = written(lower.join(ahead, "next").select("node", F.least("next", "jump").alias("label"), "old"), "labels")
+        discard(labels)
         labels = moved.select("node", "label")
         if moved.filter("label <> old").isEmpty():
+            discard(both)
             return labels

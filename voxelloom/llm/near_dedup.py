@@ -5,11 +5,13 @@ every minimum, packed as bit planes, estimate the similarity of a candidate pair
 bit counts, corrected for chance collisions; links are confirmed on the full sets.
 
 Groups of any size stay distributed. Equal sets are one class before anything else.
-Members of a band bucket meet the bucket's leader, the class whose buckets are most
-populous (a template that thousands of copies derive from leads all of them); what
-the leader doesn't join to its component meets the other components of the bucket in
-a join that keeps only pairs whose estimate allows a link. Pairs inside one component
-can't change it and are never made.
+A bucket's leader is the class whose buckets are most populous (a template that
+thousands of copies derive from leads all of them). Each class first meets the foremost
+of its leaders; then, where a bucket still holds several components, the members of
+others meet its leader; what is left meets in a join that keeps only pairs of different
+components whose estimate allows a link and whose parity bits, a bound that is never
+wrong, don't rule it out. Pairs inside one component can't change it
+and are never made.
 
 Defined cases: null or empty text, or one without words, has an empty set, is its own
 component and is kept. A text shorter than five words is one shingle. Rows that share a
@@ -29,10 +31,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .storage import written
+from .storage import discard, written
 from .textkit import U64, Words, binary16, lists, mix, slices, windows
 
-_SIGNED = "doc_id long, n_shingles long, cls binary, sig array<long>, bands array<long>"
+_SIGNED = "doc_id long, n_shingles long, cls binary, sig array<long>, bits array<long>, bands array<long>"
 
 
 @dataclass(frozen=True)
@@ -47,6 +49,7 @@ class Plan:
     rows: int = 6
     slack: float = 0.19
     filter_bits: int = 1 << 23
+    parity_bits: int = 2048
 
 
 def _coefficients(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -113,6 +116,18 @@ def signatures(flat: np.ndarray, first: np.ndarray, plan: Plan) -> tuple[np.ndar
     return np.concatenate(planes, axis=1), keys.view(np.int64)
 
 
+def parities(flat: np.ndarray, first: np.ndarray, n: int, block: int = 256) -> np.ndarray:
+    """n bits a row: whether an odd number of its shingles falls on each place. Rows are counted in small blocks."""
+    rows = len(first) - 1
+    out = np.zeros((rows, n // 8), np.uint8)
+    for lo in range(0, rows, block):
+        hi = min(rows, lo + block)
+        key = np.repeat(np.arange(hi - lo) * n, np.diff(first[lo : hi + 1])) + (flat[first[lo] : first[hi]] & U64(n - 1)).astype(np.int64)
+        odd = (np.bincount(key, minlength=(hi - lo) * n) & 1).astype(np.uint8).reshape(hi - lo, n)
+        out[lo:hi] = np.packbits(odd, axis=1, bitorder="little")
+    return out.view(np.int64)
+
+
 def signed(docs: DataFrame, plan: Plan) -> DataFrame:
     """Set size, class key, packed signature and band keys of each document."""
 
@@ -120,10 +135,10 @@ def signed(docs: DataFrame, plan: Plan) -> DataFrame:
         for rows, data, offsets in slices(batches, "text"):
             flat, first = shingle_sets(data, offsets, plan.width)
             planes, keys = signatures(flat, first, plan)
-            n = rows.num_rows
+            n, bits = rows.num_rows, parities(flat, first, plan.parity_bits)
             yield pa.RecordBatch.from_arrays(
-                [rows.column(0), pa.array(np.diff(first)), binary16(*set_keys(flat, first)), lists(planes.ravel(), np.arange(n + 1) * planes.shape[1]), lists(keys.ravel(), np.arange(n + 1) * plan.bands)],
-                names=["doc_id", "n_shingles", "cls", "sig", "bands"],
+                [rows.column(0), pa.array(np.diff(first)), binary16(*set_keys(flat, first)), lists(planes.ravel(), np.arange(n + 1) * planes.shape[1]), lists(bits.ravel(), np.arange(n + 1) * bits.shape[1]), lists(keys.ravel(), np.arange(n + 1) * plan.bands)],
+                names=["doc_id", "n_shingles", "cls", "sig", "bits", "bands"],
             )
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _SIGNED)
@@ -136,32 +151,47 @@ def estimate(a: Column, b: Column, plan: Plan) -> Column:
     return ((1 - apart / F.lit(plan.minima)) - 0.25) / 0.75
 
 
+def possible(a: Column, b: Column, na: Column, nb: Column, plan: Plan) -> Column:
+    """False only where a link can't be: each place whose parity differs, and each shingle of a difference in size, is a
+    shingle that only one of the sets has, and a link allows (100 - percent) / (100 + percent) of both sizes of those."""
+    apart = sum((F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(1, plan.parity_bits // 64)), F.bit_count(a[0].bitwiseXOR(b[0])))
+    return (100 - plan.percent) * (na + nb) >= (100 + plan.percent) * F.greatest(apart.cast("long"), F.abs(na - nb))
+
+
+def _place(bits: int) -> Column:
+    """A place in the bit filter from the class key and doc_id; _places computes the same."""
+    return F.pmod(F.conv(F.hex(F.substring("cls", 1, 6)), 16, 10).cast("long") + F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(1 << 23)) * 40503, F.lit(bits))
+
+
+def _places(key: np.ndarray, ids: np.ndarray, bits: int) -> np.ndarray:
+    return ((key.byteswap() >> U64(16)).astype(np.int64) + np.mod(ids, 1 << 23) * 40503) % bits
+
+
 def _sets(docs: DataFrame, wanted: DataFrame, plan: Plan) -> DataFrame:
     """(cls, shingles) of the wanted (cls, doc_id), from the texts.
 
     A bit filter of fixed size goes to all tasks; it only spares rows that can't be wanted,
     and the join after it decides.
     """
-    spark, bits = docs.sparkSession, plan.filter_bits
-    place = F.pmod(F.xxhash64("cls", "doc_id"), F.lit(bits))
-    words = wanted.select(place.alias("p")).groupBy((F.col("p") / 64).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("m")).toPandas()
+    bits = plan.filter_bits
+    words = wanted.select(_place(bits).alias("p")).groupBy((F.col("p") / 64).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("m")).toPandas()
     mask = np.zeros(bits // 64, np.int64)
     mask[words.w.to_numpy(int)] = words.m.to_numpy(np.int64)
-    held = spark.sparkContext.broadcast(mask)
+    held = docs.sparkSession.sparkContext.broadcast(mask)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = held.value
         for rows, data, offsets in slices(batches, "text"):
             flat, first = shingle_sets(data, offsets, plan.width)
-            yield pa.RecordBatch.from_arrays([rows.column(0), binary16(*set_keys(flat, first)), lists(flat.view(np.int64), first)], names=["doc_id", "cls", "shingles"])
-
-    def allowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = held.value
-        for rows in batches:
-            p = rows.column(3).to_numpy(zero_copy_only=False)
-            yield rows.select([1, 2]).filter(pa.array((m[p >> 6] >> (p & 63) & 1).astype(bool)))
-
-    every = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, cls binary, shingles array<long>")
-    some = every.withColumn("p", place).mapInArrow(allowed, "cls binary, shingles array<long>")
+            one, two = set_keys(flat, first)
+            p = _places(one, rows.column(0).fill_null(0).to_numpy(), bits)
+            keep = np.flatnonzero((m[p >> 6] >> (p & 63) & 1).astype(bool) & (np.diff(first) > 0))
+            if len(keep):
+                sets = [flat[first[r] : first[r + 1]] for r in keep]
+                ends = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+                yield pa.RecordBatch.from_arrays([binary16(one[keep], two[keep]), lists(np.concatenate(sets).view(np.int64), ends)], names=["cls", "shingles"])
+
+    some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "cls binary, shingles array<long>")
     return some.join(wanted.select("cls").distinct(), "cls", "left_semi").dropDuplicates(["cls"])
 
 
@@ -174,39 +204,74 @@ def _confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, plan: Plan
     two = sets.select(F.col("cls").alias("b"), F.col("shingles").alias("sb"))
     both = pairs.select("a", "b").join(one, "a").join(two, "b")
     shared = F.size(F.array_intersect("sa", "sb")).cast("long")
-    return both.select("a", "b", shared.alias("s"), (F.size("sa") + F.size("sb")).cast("long").alias("t")).filter(100 * F.col("s") >= plan.percent * (F.col("t") - F.col("s"))).select("a", "b")
+    sized = both.select("a", "b", shared.alias("s"), (F.size("sa") + F.size("sb")).cast("long").alias("t"))
+    links = written(sized.filter(100 * F.col("s") >= plan.percent * (F.col("t") - F.col("s"))).select("a", "b"), "links")
+    discard(wanted, sets)
+    return links
+
+
+def _led(members: DataFrame, *more: str) -> DataFrame:
+    """(bucket, a, b, sa, sb, weight, la, lb): the members of each bucket and its leader b, the class of the greatest weight."""
+    label = F.col("label") if "label" in more else F.lit(None)
+    told = members.select("bucket", "weight", "cls", "sig", label.alias("label"))
+    lead = told.groupBy("bucket").agg(F.max(F.struct("weight", "cls", "sig", "label")).alias("l")).select("bucket", F.col("l.weight").alias("weight"), F.col("l.cls").alias("b"), F.col("l.sig").alias("sb"), F.col("l.label").alias("lb"))
+    return told.select("bucket", F.col("cls").alias("a"), F.col("sig").alias("sa"), F.col("label").alias("la")).join(lead, "bucket").filter("a <> b")
+
+
+def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members, with their components, of the buckets that hold more than one."""
+    placed = members.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+    several = placed.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("bucket")
+    return placed.join(several, "bucket")
+
+
+def _joined(docs: DataFrame, classes: DataFrame, pairs: DataFrame, links: DataFrame, labels: DataFrame, plan: Plan) -> tuple[DataFrame, DataFrame]:
+    """Links and components with those of the pairs that are confirmed."""
+    pairs = written(pairs, "pairs")
+    if pairs.isEmpty():
+        return links, labels
+    more = _confirmed(docs, classes, pairs, plan)
+    discard(pairs)
+    if more.isEmpty():
+        return links, labels
+    links = links.union(more)
+    return links, components(links)
 
 
 def near_duplicates(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id, kept, and class_size (documents with an equal set)."""
-    rows = written(signed(docs, plan), "signed")
-    classes = written(rows.filter("n_shingles > 0").groupBy("cls").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("class_size"), F.first("sig").alias("sig"), F.first("bands").alias("bands")), "classes")
+    every = written(signed(docs, plan), "signed")
+    rows = written(every.select("doc_id", "n_shingles", "cls"), "rows")
+    classes = written(every.filter("n_shingles > 0").groupBy("cls").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("class_size"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.first("bits").alias("bits"), F.first("bands").alias("bands")), "classes")
+    discard(every)
     spread = classes.select("cls", F.explode("bands").alias("bucket"))
     busy = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-    members = written(spread.join(busy, "bucket"), "members")
-    weight = members.groupBy("cls").agg(F.sum("c").alias("weight")).join(classes.select("cls", "sig"), "cls")
-    members = written(members.select("bucket", "cls").join(weight, "cls"), "members")
+    plain = written(spread.join(busy, "bucket"), "members")
+    weight = plain.groupBy("cls").agg(F.sum("c").alias("weight")).join(classes.select("cls", "sig"), "cls")
+    members = written(plain.select("bucket", "cls").join(weight, "cls"), "members")
+    discard(plain)
     best = F.least(F.lit(1.0), F.lit(plan.percent / 100)) - plan.slack
 
-    # each member and its bucket's leader
-    leaders = members.groupBy("bucket").agg(F.max(F.struct("weight", "cls", "sig")).alias("l")).select("bucket", F.col("l.cls").alias("b"), F.col("l.sig").alias("sb"))
-    pairs = members.select("bucket", F.col("cls").alias("a"), F.col("sig").alias("sa")).join(leaders, "bucket").filter("a <> b")
-    first = written(pairs.filter(estimate(F.col("sa"), F.col("sb"), plan) >= best).select("a", "b").distinct(), "pairs")
-    links = written(_confirmed(docs, classes, first, plan), "links")
+    # each class and the foremost of its buckets' leaders
+    led = _led(members).filter(estimate(F.col("sa"), F.col("sb"), plan) >= best)
+    first = written(led.groupBy("a").agg(F.max(F.struct("weight", "b")).alias("l")).select("a", F.col("l.b").alias("b")), "pairs")
+    links = _confirmed(docs, classes, first, plan)
     labels = components(links)
+    discard(first)
+
+    # where a bucket still holds several components: its leader and the members of others
+    open_ = _open(members, labels)
+    led = _led(open_, "label").filter((F.col("la") != F.col("lb")) & (estimate(F.col("sa"), F.col("sb"), plan) >= best))
+    links, labels = _joined(docs, classes, led.select("a", "b").distinct(), links, labels, plan)
+
+    # and then any two members of different components
+    rest = written(_open(members, labels).select("bucket", "cls", "sig", "label").join(classes.select("cls", "n", "bits"), "cls"), "open")
+    x, y = (rest.select("bucket", F.col("cls").alias(k), *(F.col(c).alias(f"{c}_{k}") for c in ("sig", "label", "n", "bits"))) for k in ("a", "b"))
+    c = F.col
+    across = x.join(y, "bucket").filter(c("label_a") < c("label_b")).filter(estimate(c("sig_a"), c("sig_b"), plan) >= best).filter(possible(c("bits_a"), c("bits_b"), c("n_a"), c("n_b"), plan))
+    links, labels = _joined(docs, classes, across.select("a", "b").distinct(), links, labels, plan)
 
-    # what is left: members of a bucket in different components
-    placed = members.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("bucket", "cls", "sig", F.coalesce("label", "cls").alias("label"))
-    open_ = placed.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("bucket")
-    rest = written(placed.join(open_, "bucket"), "open")
-    x = rest.select("bucket", F.col("cls").alias("a"), F.col("sig").alias("sa"), F.col("label").alias("la"))
-    y = rest.select("bucket", F.col("cls").alias("b"), F.col("sig").alias("sb"), F.col("label").alias("lb"))
-    across = x.join(y, "bucket").filter(F.col("la") < F.col("lb")).filter(estimate(F.col("sa"), F.col("sb"), plan) >= best)
-    second = written(across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "pairs")
-    if not second.isEmpty():
-        more = written(_confirmed(docs, classes, second, plan), "links")
-        if not more.isEmpty():
-            labels = components(links.union(more))
+    discard(rest, members)
 
     # from classes to documents
     own = classes.select("cls", "first_id", "class_size").join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))

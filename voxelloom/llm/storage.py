@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..plans.scratch import shared_dir, written
+from ..plans.scratch import discard, shared_dir, written
 
-__all__ = ["shared_dir", "table", "written"]
+__all__ = ["discard", "shared_dir", "table", "written"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
