@@ -116,15 +116,17 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, s: Settings = Setting
             yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(2), places], names=["doc_id", "toxic", "places"])
 
     found = sample.select("doc_id", "text", "toxic").mapInArrow(run, "doc_id long, toxic int, places array<int>").toArrow()
-    found = found.append_column("o", pa.array(mix(found["doc_id"].to_numpy().astype(U64)))).sort_by([("o", "ascending"), ("doc_id", "ascending")])
-    y = found["toxic"].to_numpy().astype(float)
-    flat = found["places"].combine_chunks()
-    flat = flat.chunk(0) if isinstance(flat, pa.ChunkedArray) else flat
-    at, ends = flat.values.to_numpy(), flat.offsets.to_numpy()
-    rows = [at[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    ids = found["doc_id"].to_numpy()
+    order = np.lexsort((ids, mix(ids.astype(U64))))
+    rows = []
+    for part in found["places"].chunks:  # views, so that the features are held once
+        at, ends = part.values.to_numpy(), part.offsets.to_numpy()
+        rows += [at[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    rows = [rows[i] for i in order]
+    y = found["toxic"].to_numpy().astype(float)[order]
     n1, n0 = max(1, int(y.sum())), max(1, int(len(y) - y.sum()))
     importance = np.where(y == 1, max(1, ones) / n1, max(1, zeros) / n0)
-    return train(rows, y, importance / max(importance.mean(), 1e-9), s)
+    return train(rows, y, importance * (len(y) / max(1.0, importance.sum())), s)
 
 
 def scores(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, w: Weights) -> np.ndarray:
