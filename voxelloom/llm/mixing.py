@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .storage import written
+from .storage import discard, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -33,7 +33,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 @dataclass(frozen=True)
 class Recipe:
     """weights repeat over the sources by code point. share: of all words, what the mix takes. most: times a source
-    may be taken. shard_words: words of an output shard. colours: the most groups of sources in the tree."""
+    may be taken. shard_words: words of an output shard. colours: the most groups of sources in the tree. broadcast_rows:
+    plans of more blocks are joined by a shuffle."""
 
     weights: tuple[float, ...] = (5.0, 2.0, 1.0)
     share: float = 1.5
@@ -43,6 +44,7 @@ class Recipe:
     most_shards: int = 8192
     colours: int = 4096
     seed: int = 20240229
+    broadcast_rows: int = 400_000
 
 
 def words_of(text: Column) -> Column:
@@ -85,13 +87,20 @@ def split_tree(quotas: np.ndarray, shards: int, seed: int) -> np.ndarray:
     return out
 
 
-def mixture(docs: DataFrame, recipe: Recipe = Recipe()) -> DataFrame:
-    """One row a document: doc_id, size, source_size, target, taken, and for each draw of it a struct
-    (copy, shard, words, place) in draws; `place` is its order in the shard."""
-    spark = docs.sparkSession
-    h = F.xxhash64(F.lit(recipe.seed), F.col("doc_id").cast("long"), "size")
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), words_of(F.col("text")).alias("size"))
-    rows = written(base.withColumn("h", h).withColumn("block", F.shiftrightunsigned("h", 64 - recipe.block_bits).cast("int")), "sizes")
+def _hashed(docs: DataFrame, recipe: Recipe) -> DataFrame:
+    """_id, _source, _size, _h and _block of each row."""
+    out = docs.withColumn("_id", F.col("doc_id").cast("long")).withColumn("_source", F.col("source").cast("string")).withColumn("_size", words_of(F.col("text")))
+    return out.withColumn("_h", F.xxhash64(F.lit(recipe.seed), "_id", "_size")).withColumn("_block", F.shiftrightunsigned("_h", 64 - recipe.block_bits).cast("int"))
+
+
+def _sizes(docs: DataFrame, recipe: Recipe) -> DataFrame:
+    """A narrow row a document: doc_id, source, size, h, block."""
+    return _hashed(docs.select("doc_id", "source", "text"), recipe).select(F.col("_id").alias("doc_id"), F.col("_source").alias("source"), F.col("_size").alias("size"), F.col("_h").alias("h"), F.col("_block").alias("block"))
+
+
+def _block_plan(rows: DataFrame, recipe: Recipe) -> DataFrame:
+    """What is drawn of each block: source, block, block_words, left, whole, source_size, target, draws."""
+    spark = rows.sparkSession
     blocks = written(rows.groupBy("source", "block").agg(F.sum("size").alias("words")), "blocks")
     goals = targets(blocks.groupBy("source").agg(F.sum("words").alias("source_size")), recipe)
     whole = F.least(F.floor(F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0)), F.lit(int(recipe.most)))
@@ -121,36 +130,64 @@ def mixture(docs: DataFrame, recipe: Recipe = Recipe()) -> DataFrame:
         F.first("words").alias("block_words"), F.first("left").alias("left"), F.first("whole").alias("whole"), F.first("source_size").alias("source_size"), F.first("target").alias("target"),
         F.filter(F.sort_array(F.collect_list(F.struct("copy", "shard"))), lambda x: x["copy"].isNotNull()).alias("draws"),
     )  # a block has at most `most` + 1 draws
-    plan = written(plan, "plan")
-    own = rows.join(plan, rows["source"].eqNullSafe(plan["source"]) & (rows["block"] == plan["block"])).select(rows["doc_id"], rows["source"], "size", "h", "block_words", "left", "whole", "source_size", "target", "draws")
+    out = written(plan, "plan")
+    discard(blocks, goals, placed)
+    return out
 
-    # the block at the limit, by document
-    cut = own.filter("left > 0 and left < block_words")
-    inside = Window.partitionBy(F.col("source")).orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    cut = cut.withColumn("extra", F.greatest(F.lit(0), F.least(F.col("size"), F.col("left") - F.coalesce(F.sum("size").over(inside), F.lit(0)))))
-    clear = own.filter("not (left > 0 and left < block_words)").withColumn("extra", F.when(F.col("left") > 0, F.col("size")).otherwise(F.lit(0)))
-    both = clear.unionByName(cut)
-    taken = (F.col("size") * F.col("whole") + F.col("extra")).cast("long")
-    draws = F.filter(
-        F.transform("draws", lambda d: F.struct(d["copy"].alias("copy"), d["shard"].alias("shard"), F.when(d["copy"] <= F.col("whole"), F.col("size")).otherwise(F.col("extra")).cast("long").alias("words"), F.xxhash64(F.lit(recipe.seed + 2), "h", d["copy"]).alias("place"))),
+
+def _extras(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """(doc_id, source, size, h, extra) of the documents in the block at each source's limit: words drawn once more."""
+    cut = plan.filter("left > 0 and left < block_words").select(F.col("source").alias("_s"), F.col("block").alias("_b"), "left")
+    own = rows.join(cut, rows["source"].eqNullSafe(cut["_s"]) & (rows["block"] == cut["_b"])).select(rows["doc_id"], rows["source"], "size", "h", "left")
+    inside = Window.partitionBy("source").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    return own.withColumn("extra", F.greatest(F.lit(0), F.least(F.col("size"), F.col("left") - F.coalesce(F.sum("size").over(inside), F.lit(0))))).drop("left")
+
+
+def _draws(size: Column, extra: Column, h: Column, recipe: Recipe) -> Column:
+    return F.filter(
+        F.transform("draws", lambda d: F.struct(d["copy"].alias("copy"), d["shard"].alias("shard"), F.when(d["copy"] <= F.col("whole"), size).otherwise(extra).cast("long").alias("words"), F.xxhash64(F.lit(recipe.seed + 2), h, d["copy"]).alias("place"))),
         lambda d: d["words"] > 0,
     )
-    return both.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), draws.alias("draws"))
+
+
+def mixture(docs: DataFrame, recipe: Recipe = Recipe()) -> DataFrame:
+    """One row a document: doc_id, source, size, source_size, target, taken, and for each draw of it a struct
+    (copy, shard, words, place) in draws; `place` is its order in the shard."""
+    rows = written(_sizes(docs, recipe), "sizes")
+    plan = _block_plan(rows, recipe)
+    own = rows.join(plan, rows["source"].eqNullSafe(plan["source"]) & (rows["block"] == plan["block"])).select(rows["doc_id"], rows["source"], "size", "h", "block_words", "left", "whole", "source_size", "target", "draws")
+    at_limit = (F.col("left") > 0) & (F.col("left") < F.col("block_words"))
+    inside = Window.partitionBy("source").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    cut = own.filter(at_limit).withColumn("extra", F.greatest(F.lit(0), F.least(F.col("size"), F.col("left") - F.coalesce(F.sum("size").over(inside), F.lit(0)))))
+    clear = own.filter(~at_limit).withColumn("extra", F.when(F.col("left") > 0, F.col("size")).otherwise(F.lit(0)))
+    both = clear.unionByName(cut)
+    taken = (F.col("size") * F.col("whole") + F.col("extra")).cast("long")
+    return both.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), _draws(F.col("size"), F.col("extra"), F.col("h"), recipe).alias("draws"))
 
 
 def mixed(docs: DataFrame, recipe: Recipe = Recipe()) -> DataFrame:
     """The mix itself: the documents' columns, once for each draw, and mix_shard, mix_place, mix_words.
 
     Each shard is one range of partitions in local random order; a draw of part of a document
-    holds its first mix_words words, joined by spaces. Rows that repeat a doc_id and a size
-    are dealt alike.
+    holds its first mix_words words, joined by spaces. Texts move once, to their shard: the plan
+    of the blocks, and the one document a source that is drawn in part, meet them where they lie.
+    Rows that repeat a doc_id and a size are dealt alike.
     """
     names = docs.columns
-    plan = mixture(docs, recipe).filter("taken > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "draws").dropDuplicates(["_id", "_source", "_size"])
-    sized = docs.withColumn("_words", words_of(F.col("text")))
-    joined = sized.join(plan, sized["doc_id"].cast("long").eqNullSafe(plan["_id"]) & sized["source"].cast("string").eqNullSafe(plan["_source"]) & (F.col("_words") == F.col("_size")))
-    each = joined.withColumn("_draw", F.explode("draws"))
+    rows = written(_sizes(docs, recipe), "sizes")
+    plan = _block_plan(rows, recipe)
+    # the last document a source's limit reaches: those before it in the block are drawn whole
+    reached = _extras(rows, plan).filter("extra > 0").groupBy("source").agg(F.max(F.struct("h", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), "size", "extra")).alias("end"))
+    points = written(plan.join(reached, plan["source"].eqNullSafe(reached["source"]), "left").select(plan["source"].alias("_ps"), plan["block"].alias("_pb"), "block_words", "left", "whole", "draws", "end"), "points")
+    discard(rows, plan)
+    points = F.broadcast(points) if points.count() <= recipe.broadcast_rows else points
+    sized = _hashed(docs, recipe)
+    joined = sized.join(points, sized["_source"].eqNullSafe(F.col("_ps")) & (F.col("_block") == F.col("_pb")))
+    me, last = F.struct(F.col("_h").alias("h"), F.coalesce("_id", F.lit(-(1 << 63))).alias("id"), F.col("_size").alias("size")), F.struct(F.col("end.h").alias("h"), F.col("end.id").alias("id"), F.col("end.size").alias("size"))
+    limited = F.when(me < last, F.col("_size")).when(me == last, F.col("end.extra")).otherwise(F.lit(0))
+    extra = F.when(F.col("left") <= 0, F.lit(0)).when(F.col("left") >= F.col("block_words"), F.col("_size")).otherwise(F.coalesce(limited, F.lit(0)))
+    each = joined.withColumn("_extra", extra).withColumn("_draw", F.explode(_draws(F.col("_size"), F.col("_extra"), F.col("_h"), recipe)))
     part = F.concat_ws(" ", F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), F.col("_draw.words").cast("int")))
-    text = F.when(F.col("_draw.words") < F.col("_words"), part).otherwise(F.col("text"))
+    text = F.when(F.col("_draw.words") < F.col("_size"), part).otherwise(F.col("text"))
     out = each.select(*[text.alias(c) if c == "text" else F.col(c) for c in names], F.col("_draw.shard").alias("mix_shard"), F.col("_draw.place").alias("mix_place"), F.col("_draw.words").alias("mix_words"))
     return out.repartition("mix_shard").sortWithinPartitions("mix_shard", "mix_place")
