@@ -223,9 +223,9 @@ def otsu(spark, sf_dir):
 
 
 @query(f"""with {PX}, g as (select cast(unnest(range(0, 3)) as integer) as gy), k as (select cast(unnest(range(0, 3)) as integer) as gx)
-select z, gy, gx, round(quantile_cont(v, 0.25), 6) as v from px, g, k where z < 100 and abs(y - 4 * gy) <= 2 and abs(x - 4 * gx) <= 3 group by all""")
+select z, gy, gx, round(quantile_cont(v, 0.25), 6) as v from px, g, k where abs(y - 4 * gy) <= 2 and abs(x - 4 * gx) <= 3 group by all""")
 def local_percentile(spark, sf_dir):
-    return stats.local_percentile(planes(spark, sf_dir).filter("z < 100"), 0.25, 2, 3, 4, ["z"]).select("z", "gy", "gx", F.round("v", 6).alias("v")).filter("gy <= 2 and gx <= 2").select("z", F.col("gy").cast("int").alias("gy"), F.col("gx").cast("int").alias("gx"), "v")
+    return stats.local_percentile(planes(spark, sf_dir), 0.25, 2, 3, 4, ["z"]).select("z", "gy", "gx", F.round("v", 6).alias("v")).filter("gy <= 2 and gx <= 2").select("z", F.col("gy").cast("int").alias("gy"), F.col("gx").cast("int").alias("gx"), "v")
 
 
 @query("""select l_returnflag, round(sqrt(sum(l_tax * l_tax)), 9) as norm, round(abs(sqrt(sum(l_tax * l_tax)) - sqrt(sum(l_discount * l_discount))) / sqrt(sum(l_discount * l_discount)) * 100, 6) as change from lineitem group by 1""")
@@ -286,13 +286,13 @@ def bounding_volume(spark, sf_dir):
 def _stack_pixels(spark, sf_dir):
     """Two-dimensional stacks of 12 x 12 pixels that overlap by 4."""
     k = F.col("p_partkey")
-    t = table(spark, sf_dir, "part").filter("p_partkey < 400").select(k.alias("stack"), (k % 20 * 8).cast("int").alias("x0"), (F.floor(k / 20) * 8).cast("int").alias("y0"))
+    t = table(spark, sf_dir, "part").select(k.alias("stack"), (k % 20 * 8).cast("int").alias("x0"), (F.floor(k / 20) * 8).cast("int").alias("y0"))
     s = t.select("stack", "x0", (F.col("x0") + 12).alias("x1"), "y0", (F.col("y0") + 12).alias("y1"), F.lit(0).alias("z0"), F.lit(1).alias("z1"))
     px = s.withColumn("y", F.explode(F.sequence("y0", F.col("y1") - 1))).withColumn("x", F.explode(F.sequence("x0", F.col("x1") - 1)))
     return s, px.select("stack", F.lit(0).alias("z"), "y", "x", ((F.col("stack") * 31 + F.col("x") * 7 + F.col("y") * 13) % 250 + 1).cast("int").alias("v"))
 
 
-_ST = """st as (select p_partkey as stack, cast(p_partkey % 20 * 8 as integer) as x0, cast(p_partkey // 20 * 8 as integer) as y0 from part where p_partkey < 400),
+_ST = """st as (select p_partkey as stack, cast(p_partkey % 20 * 8 as integer) as x0, cast(p_partkey // 20 * 8 as integer) as y0 from part),
 sp as (select stack, x0, y0, y0 + cast(j as integer) as y, x0 + cast(i as integer) as x, cast((stack * 31 + (x0 + i) * 7 + (y0 + j) * 13) % 250 + 1 as integer) as v from st, range(12) a(i), range(12) b(j))"""
 
 
@@ -532,18 +532,18 @@ def jumpy_order(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", level.alias("level"), F.row_number().over(Window.orderBy(F.desc(level), "o_orderkey")).alias("place"))
 
 
-@query("""with c as (select distinct c_nationkey as n, c_mktsegment as s from customer where c_custkey % 3 > 0), r as (select distinct n from c), t as (select distinct s from c) select n, s from r, t except select n, s from c""")
+@query("""with c as (select distinct c_nationkey as n, c_mktsegment as s from customer), r as (select distinct n from c), t as (select distinct s from c) select n, s from r, t except select n, s from c""")
 def fill_blanks(spark, sf_dir):
-    c = table(spark, sf_dir, "customer").filter("c_custkey % 3 > 0").select(F.col("c_nationkey").alias("n"), F.col("c_mktsegment").alias("s"))
+    c = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("n"), F.col("c_mktsegment").alias("s"))
     return inventory.missing_cells(c, ["n", "s"])
 
 
-@query("""with s as (select l_suppkey, min(l_linenumber) as z0, max(l_linenumber) + 1 as z1 from lineitem group by 1), w as (select l_suppkey, cast(unnest(range(z0, z1)) as integer) as z from s), h as (select distinct l_suppkey, l_linenumber as z from lineitem where l_orderkey % 5 = 0)
+@query("""with s as (select l_suppkey, min(l_linenumber) as z0, max(l_linenumber) + 1 as z1 from lineitem group by 1), w as (select l_suppkey, cast(unnest(range(z0, z1)) as integer) as z from s), h as (select distinct l_suppkey, l_linenumber as z from lineitem where l_returnflag = 'N')
 select l_suppkey, z, lpad(cast(z * 30 as varchar), 6, '0') as name from w where not exists (select 1 from h where h.l_suppkey = w.l_suppkey and h.z = w.z)""")
 def missing_planes(spark, sf_dir):
     i = table(spark, sf_dir, "lineitem")
     s = i.groupBy("l_suppkey").agg(F.min("l_linenumber").alias("z0"), (F.max("l_linenumber") + 1).alias("z1"))
-    return inventory.missing_planes(s, i.filter("l_orderkey % 5 = 0").select("l_suppkey", F.col("l_linenumber").alias("z")).distinct(), ["l_suppkey"], 3)
+    return inventory.missing_planes(s, i.filter("l_returnflag = 'N'").select("l_suppkey", F.col("l_linenumber").alias("z")).distinct(), ["l_suppkey"], 3)
 
 
 @query("""select distinct * from (select c_nationkey as n, c_mktsegment as s from customer union all select s_nationkey, 'SUPPLIER' from supplier)""")
@@ -559,10 +559,10 @@ def last_tie_layer(spark, sf_dir):
     return align.most_reliable_layer(e, ["k"])
 
 
-@query("""select distinct source from documents where doc_id % 2 = 0 except select source from documents where doc_id % 3 = 1 and source <> 'src4'""")
+@query("""select c_nationkey as nation from customer except select s_nationkey from supplier""")
 def channel_validation(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
-    return inventory.unknown_channels(d.filter("doc_id % 2 = 0"), d.filter("doc_id % 3 = 1 and source <> 'src4'"), "source")
+    wanted = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("nation"))
+    return inventory.unknown_channels(wanted, table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("nation")), "nation")
 
 
 @query("""select o_orderkey, o_orderpriority, cast(case o_orderpriority when '2-HIGH' then 0 when '5-LOW' then 1 else 2 end as integer) as ord from orders""")
@@ -673,16 +673,16 @@ def halo_blocks(spark, sf_dir):
     return h.groupBy("bz", "by", "bx").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("total"))
 
 
-@query(f"""with {_RECORDS} select distinct xidx, yidx, zidx, z, round(score, 6) as score, xoff, yoff, zoff from rc where xidx = 3""")
+@query(f"""with {_RECORDS} select distinct xidx, yidx, zidx, z, round(score, 6) as score, xoff, yoff, zoff from rc""")
 def alignments_json(spark, sf_dir):
-    r = _records(spark, sf_dir).filter("xidx = 3").withColumn("score", F.round("score", 6)).dropDuplicates()
+    r = _records(spark, sf_dir).withColumn("score", F.round("score", 6)).dropDuplicates()
     back = writers.alignments_from_json(writers.alignment_json(r))
     return back.select("xidx", "yidx", "zidx", "z", "score", "xoff", "yoff", "zoff")
 
 
-@query(f"""with {VX}, c as (select distinct y, x from vx where z = 1 and v > 49), t as (select y, x from c) select cast(count(*) as bigint) as cells from t""")
+@query(f"""with {VX}, c as (select distinct z, y, x from vx where v > 49), t as (select y, x from c) select cast(count(*) as bigint) as cells from t""")
 def mask_components(spark, sf_dir):
-    cells = voxels(spark, sf_dir).filter("z = 1 and v > 49").select("y", "x")
+    cells = voxels(spark, sf_dir).filter("v > 49").select((F.col("z") * 64 + F.col("y")).alias("y"), "x")
     return place.connected(cells).agg(F.count(F.lit(1)).alias("cells"))
 
 
@@ -709,14 +709,15 @@ def destriped_planes(spark, sf_dir):
 
 @query()
 def deconvolved_blocks(spark, sf_dir):
-    px = planes(spark, sf_dir).filter("z < 64").select(F.col("z").cast("int").alias("z"), "y", "x", "v")
+    px = planes(spark, sf_dir).select(F.col("z").cast("int").alias("z"), "y", "x", "v")
+    depth = (px.agg(F.max("z")).first()[0] or 0) + 1
     psf = decon.make_psf((3, 3, 3), (1.0, 0.4, 0.4), 0.4, 0.6, 0.1, 0.5, 1.33)
-    out = decon.by_block(px, {"z": 64, "y": 8, "x": 8}, {"z": 16, "y": 8, "x": 8}, {"z": 2, "y": 2, "x": 2}, lambda b: decon.deconvolve(b, psf, decon.Plan(rounds=2, classical=True)))
+    out = decon.by_block(px, {"z": depth, "y": 8, "x": 8}, {"z": 16, "y": 8, "x": 8}, {"z": 2, "y": 2, "x": 2}, lambda b: decon.deconvolve(b, psf, decon.Plan(rounds=2, classical=True)))
     return decon.normalised(out, 255.0, 1.0).select("z", "y", "x", F.col("v").cast("int").alias("v"))
 
 
 @query()
 def registered_pair(spark, sf_dir):
-    px = planes(spark, sf_dir).filter("z < 40")
+    px = planes(spark, sf_dir)
     a = px.withColumn("k", F.lit(0)).withColumn("y", F.col("y") + 8 * F.col("z").cast("int"))
     return register.translation(a, a.withColumn("y", F.col("y") + 1), "k", 2)
