@@ -85,18 +85,19 @@ def mosaic_cosine(px: DataFrame, stacks: DataFrame, size: int) -> DataFrame:
     its distances (from 1) to the nearest cut edge of its own stack and of the neighbour; weights multiply. In doubles."""
     pairs = edge_rules(stacks, size)
     c = F.col
-    on = c("s_stack") == c("stack")
-    held = px.join(pairs, on, "left")
-    inside = F.lit(True)
+    inside = c("s_stack") == c("stack")
     for a in "xyz":
         inside = inside & (c(a) >= c(f"o_{a}0")) & (c(a) < c(f"o_{a}1"))
+    held = px.join(pairs, inside)  # only pixels that a neighbour covers
     far = F.lit(float("inf"))
     own = F.least(*(F.when(c(f"{a}min"), (c(a) - c(f"s_{a}0") + 1).cast("double")).otherwise(far) for a in "xyz"), *(F.when(c(f"{a}max"), (c(f"s_{a}1") - c(a)).cast("double")).otherwise(far) for a in "xyz"))
     # the neighbour's cut edges are the opposite ones
     other = F.least(*(F.when(c(f"{a}max"), (c(a) - c(f"o_{a}0") + 1).cast("double")).otherwise(far) for a in "xyz"), *(F.when(c(f"{a}min"), (c(f"o_{a}1") - c(a)).cast("double")).otherwise(far) for a in "xyz"))
     d, o = F.when(own == far, other).otherwise(own), F.when(other == far, own).otherwise(other)
-    weight = F.when(~F.coalesce(inside, F.lit(False)) | (d == far), 1.0).otherwise(d * d / (d * d + o * o))
-    each = held.withColumn("_w", weight).groupBy("stack", "z", "y", "x").agg(F.first("v").alias("v"), F.product("_w").alias("w"))
+    weight = F.when(d == far, 1.0).otherwise(d * d / (d * d + o * o))
+    cells = ["stack", "z", "y", "x", "v"]
+    both = px.select(*cells, F.lit(1.0).alias("_w")).unionByName(held.select(*cells, weight.alias("_w")))
+    each = both.groupBy("stack", "z", "y", "x").agg(F.first("v").alias("v"), F.product("_w").alias("w"))
     return each.groupBy("z", "y", "x").agg((F.sum(c("v") * c("w")) / F.sum("w")).alias("v"))
 
 
