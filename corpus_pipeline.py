@@ -8,6 +8,9 @@ from voxelloom.llm import decontaminate, mixing, near_dedup, secrets, toxicity
 from voxelloom.llm.storage import table, written
 from voxelloom.plans.deploy import ship
 
+#: A pair at similarity 0.8 misses all 25 bands of 5 with probability 5e-5; the slack is five standard errors at 0.8.
+NEAR_COPIES = near_dedup.Plan(percent=80, bands=25, rows=5, slack=0.22)
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model rejects go."""
@@ -19,7 +22,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
     ship(spark)
-    return near_dedup.drop_near_duplicates(docs)
+    return near_dedup.drop_near_duplicates(docs, NEAR_COPIES)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
