@@ -20,9 +20,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
+    """One document of each group of near copies stays, also where rows share a doc_id."""
     ship(spark)
-    return near_dedup.drop_near_duplicates(docs, NEAR_COPIES)
+    return near_dedup.drop_near_duplicates(docs, NEAR_COPIES, once=False)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import corpus_pipeline
+from voxelloom.llm import near_dedup
 
 from .helpers import docs, prose
 from .test_pairs_and_scans import shingles
@@ -44,3 +45,12 @@ def test_stage_drops_copies_from_similarity_80(spark):
     assert len(set(groups_at(rows, 85))) > len(least)
     got = corpus_pipeline.drop_near_duplicates(spark, docs(spark, rows), "")
     assert sorted(x.doc_id for x in got.collect()) == sorted(least.values())
+
+
+def test_rows_that_share_an_id_are_decided_one_by_one(spark):
+    a, b, c, d = (prose(900 + k, 60) for k in range(4))
+    rows = [(2, a), (5, a), (5, b), (7, c), (7, d), (7, d), (8, d), (9, b), (9, None), (9, ""), (10, "")]
+    kept = sorted((r.doc_id, r.text or "") for r in corpus_pipeline.drop_near_duplicates(spark, docs(spark, rows), "").collect())
+    assert kept == sorted([(2, a), (5, b), (7, c), (7, d), (9, ""), (9, ""), (10, "")])
+    once = sorted((r.doc_id, r.text or "") for r in near_dedup.drop_near_duplicates(docs(spark, rows)).collect())
+    assert once[:2] == [(2, a), (5, b)] and [i for i, _ in once] == [2, 5, 7, 9, 10]

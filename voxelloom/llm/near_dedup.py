@@ -27,8 +27,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from .graph import components
 from .storage import discard, written
@@ -238,8 +240,8 @@ def _joined(docs: DataFrame, classes: DataFrame, pairs: DataFrame, links: DataFr
     return links, components(links)
 
 
-def near_duplicates(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
-    """One row a document: doc_id, n_shingles, component_id, kept, and class_size (documents with an equal set)."""
+def _grouped(docs: DataFrame, plan: Plan) -> DataFrame:
+    """The rows of near_duplicates, with the class and the label of the group, both null for an empty set."""
     every = written(signed(docs, plan), "signed")
     rows = written(every.select("doc_id", "n_shingles", "cls"), "rows")
     classes = written(every.filter("n_shingles > 0").groupBy("cls").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("class_size"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.first("bits").alias("bits"), F.first("bands").alias("bands")), "classes")
@@ -276,22 +278,46 @@ def near_duplicates(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
     # from classes to documents
     own = classes.select("cls", "first_id", "class_size").join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
     least = own.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    named = own.join(least, "label").select("cls", "component_id", "class_size")
+    named = own.join(least, "label").select("cls", "component_id", "class_size", "label")
     out = rows.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("cls")).alias("cls")).join(named, "cls", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"), F.coalesce("class_size", F.lit(1)).alias("class_size"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"), F.coalesce("class_size", F.lit(1)).alias("class_size"), "cls", "label")
+
+
+def near_duplicates(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
+    """One row a document: doc_id, n_shingles, component_id, kept, and class_size (documents with an equal set)."""
+    return _grouped(docs, plan).drop("cls", "label")
+
+
+def _keyed(docs: DataFrame, plan: Plan) -> DataFrame:
+    """The rows with the class of their text in _cls, null for an empty set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, data, offsets in slices(batches, "text"):
+            flat, first = shingle_sets(data, offsets, plan.width)
+            keys = pc.if_else(pa.array(np.diff(first) > 0), binary16(*set_keys(flat, first)), pa.scalar(None, pa.binary()))
+            yield pa.RecordBatch.from_arrays([*rows.columns, keys], names=[*rows.schema.names, "_cls"])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("_cls", BinaryType())]))
 
 
-def drop_near_duplicates(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, plan: Plan = Plan(), once: bool = True) -> DataFrame:
     """The documents without near copies: of each component the row of its least doc_id stays.
 
-    Rows with a null doc_id stay. Where several rows carry a kept doc_id, one of them stays.
+    Rows with a null doc_id stay. Rows that share a doc_id are decided one by one, by the class of their
+    text: of each component one of its rows stays, as does each row of an empty set. With `once`, one row
+    of each doc_id is left of those.
     """
-    found = written(near_duplicates(docs, plan), "dedup")
-    gone = found.filter("not kept and doc_id is not null").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti")
-    again = found.filter("kept and doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    if not again.isEmpty():
-        once = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-        kept = kept.join(again, "doc_id", "left_anti").unionByName(once)
-    return kept.select(docs.columns)
+    found = written(_grouped(docs, plan), "dedup")
+    gone = found.filter("not kept and doc_id is not null").select("doc_id")
+    again = written(found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "again")
+    if again.isEmpty():
+        return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    single = docs.join(gone, "doc_id", "left_anti").join(again, "doc_id", "left_anti")
+    own = found.filter("kept and cls is not null").join(again, "doc_id", "left_semi")
+    chosen = own.groupBy("label").agg(F.min(F.struct("doc_id", "cls")).alias("c")).select("c.doc_id", F.col("c.cls").alias("_cls"))
+    several = _keyed(docs.join(again, "doc_id", "left_semi").select(docs.columns), plan)
+    kept = several.filter("_cls is not null").join(chosen, ["doc_id", "_cls"], "left_semi").dropDuplicates(["doc_id", "_cls"]).unionByName(several.filter("_cls is null"))
+    if once:
+        kept = kept.dropDuplicates(["doc_id"])
+    return single.select(docs.columns).unionByName(kept.select(docs.columns))
