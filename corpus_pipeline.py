@@ -10,6 +10,8 @@ from voxelloom.plans.deploy import ship
 
 #: A pair at similarity 0.8 misses all 25 bands of 5 with probability 5e-5; the slack is five standard errors at 0.8.
 NEAR_COPIES = near_dedup.Plan(percent=80, bands=25, rows=5, slack=0.22)
+#: Each source meets its target to within half of one document; no text is cut.
+WHOLE = mixing.Recipe(whole_documents=True)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,9 +40,9 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row for each draw of a document, with its shard and place."""
+    """A row for each draw of a whole document, with its shard and place."""
     ship(spark)
-    return mixing.mixed(docs)
+    return mixing.mixed(docs, WHOLE)
 
 
 STAGES = [

@@ -133,3 +133,22 @@ def test_queries_are_registered():
 def test_draws_collected(spark):
     got = collected(mixing.mixture(docs(spark, [(1, "a b c d", None, "s"), (2, "a b", None, "t")])))
     assert got[1].taken + got[2].taken == 9
+
+
+def test_mixing_stage_cuts_no_text(spark):
+    import corpus_pipeline
+
+    rows = [r for r in mix_rows() if r[0] not in (7, 11, None)]
+    texts, sizes, taken = {r[0]: r[1] for r in rows}, Counter(), Counter()
+    longest = Counter()
+    for _, text, _, source in rows:
+        n = len(space_words(text))
+        sizes[source] += n
+        longest[source] = max(longest[source], n)
+    for r in corpus_pipeline.mix_sources(spark, docs(spark, rows), "").collect():
+        assert r.text == texts[r.doc_id] and r.n_chars == len(r.text) and r.mix_words == len(space_words(r.text))
+        taken[r.source] += r.mix_words
+    want = brute_targets(dict(sizes))
+    assert all(abs(taken[s] - want[s]) <= longest[s] / 2 + 1 for s in sizes)
+    plan = mixing.mixture(docs(spark, rows), corpus_pipeline.WHOLE).collect()
+    assert all(r.taken in (0, r["size"], 2 * r["size"]) for r in plan) and sum(r.taken for r in plan) == sum(taken.values())

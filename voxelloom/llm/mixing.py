@@ -2,7 +2,8 @@
 
 The documents of a source fall into permuted blocks by a keyed hash. A source's target says
 how often each block is drawn: every block whole as often as the target covers the source,
-then blocks in permuted order until the rest is met, the last one down to the word. A tree
+then blocks in permuted order until the rest is met, the last one down to the word (or, with
+`whole_documents`, to the nearer end of the document at the limit). A tree
 that halves the set of output shards splits the drawn blocks of all sources at each node by
 a multivariate-hypergeometric draw, so that the quotas of a shard are those of a uniform
 deal without replacement, and sum exactly. Each shard then takes its quota as the next
@@ -34,7 +35,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 class Recipe:
     """weights repeat over the sources by code point. share: of all words, what the mix takes. most: times a source
     may be taken. shard_words: words of an output shard. colours: the most groups of sources in the tree. broadcast_rows:
-    plans of more blocks are joined by a shuffle."""
+    plans of more blocks are joined by a shuffle. whole_documents: the document at a source's limit is drawn whole or not
+    at all, whichever is nearer to the target."""
 
     weights: tuple[float, ...] = (5.0, 2.0, 1.0)
     share: float = 1.5
@@ -45,6 +47,7 @@ class Recipe:
     colours: int = 4096
     seed: int = 20240229
     broadcast_rows: int = 400_000
+    whole_documents: bool = False
 
 
 def words_of(text: Column) -> Column:
@@ -135,12 +138,18 @@ def _block_plan(rows: DataFrame, recipe: Recipe) -> DataFrame:
     return out
 
 
-def _extras(rows: DataFrame, plan: DataFrame) -> DataFrame:
+def _limit(left: Column, before: Column, size: Column, recipe: Recipe) -> Column:
+    """Words drawn of a document after `before` words of its block, of which `left` are drawn."""
+    extra = F.greatest(F.lit(0), F.least(size, left - before))
+    return F.when(2 * extra >= size, size).otherwise(F.lit(0)) if recipe.whole_documents else extra
+
+
+def _extras(rows: DataFrame, plan: DataFrame, recipe: Recipe) -> DataFrame:
     """(doc_id, source, size, h, extra) of the documents in the block at each source's limit: words drawn once more."""
     cut = plan.filter("left > 0 and left < block_words").select(F.col("source").alias("_s"), F.col("block").alias("_b"), "left")
     own = rows.join(cut, rows["source"].eqNullSafe(cut["_s"]) & (rows["block"] == cut["_b"])).select(rows["doc_id"], rows["source"], "size", "h", "left")
     inside = Window.partitionBy("source").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    return own.withColumn("extra", F.greatest(F.lit(0), F.least(F.col("size"), F.col("left") - F.coalesce(F.sum("size").over(inside), F.lit(0))))).drop("left")
+    return own.withColumn("extra", _limit(F.col("left"), F.coalesce(F.sum("size").over(inside), F.lit(0)), F.col("size"), recipe)).drop("left")
 
 
 def _draws(size: Column, extra: Column, h: Column, recipe: Recipe) -> Column:
@@ -158,7 +167,7 @@ def mixture(docs: DataFrame, recipe: Recipe = Recipe()) -> DataFrame:
     own = rows.join(plan, rows["source"].eqNullSafe(plan["source"]) & (rows["block"] == plan["block"])).select(rows["doc_id"], rows["source"], "size", "h", "block_words", "left", "whole", "source_size", "target", "draws")
     at_limit = (F.col("left") > 0) & (F.col("left") < F.col("block_words"))
     inside = Window.partitionBy("source").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    cut = own.filter(at_limit).withColumn("extra", F.greatest(F.lit(0), F.least(F.col("size"), F.col("left") - F.coalesce(F.sum("size").over(inside), F.lit(0)))))
+    cut = own.filter(at_limit).withColumn("extra", _limit(F.col("left"), F.coalesce(F.sum("size").over(inside), F.lit(0)), F.col("size"), recipe))
     clear = own.filter(~at_limit).withColumn("extra", F.when(F.col("left") > 0, F.col("size")).otherwise(F.lit(0)))
     both = clear.unionByName(cut)
     taken = (F.col("size") * F.col("whole") + F.col("extra")).cast("long")
@@ -177,7 +186,7 @@ def mixed(docs: DataFrame, recipe: Recipe = Recipe()) -> DataFrame:
     rows = written(_sizes(docs, recipe), "sizes")
     plan = _block_plan(rows, recipe)
     # the last document a source's limit reaches: those before it in the block are drawn whole
-    reached = _extras(rows, plan).filter("extra > 0").groupBy("source").agg(F.max(F.struct("h", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), "size", "extra")).alias("end"))
+    reached = _extras(rows, plan, recipe).filter("extra > 0").groupBy("source").agg(F.max(F.struct("h", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), "size", "extra")).alias("end"))
     points = written(plan.join(reached, plan["source"].eqNullSafe(reached["source"]), "left").select(plan["source"].alias("_ps"), plan["block"].alias("_pb"), "block_words", "left", "whole", "draws", "end"), "points")
     discard(rows, plan)
     points = F.broadcast(points) if points.count() <= recipe.broadcast_rows else points
