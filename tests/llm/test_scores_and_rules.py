@@ -210,3 +210,13 @@ def test_word_hashes_depend_on_the_word_only():
     w = textkit.Words(data, np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64))
     assert w.counts.tolist() == [2, 2, 0, 1, 2]
     assert w.hash[0] == w.hash[3] == w.hash[4] and w.hash[1] == w.hash[2] == w.hash[6] and len(set(w.hash.tolist())) == 3
+
+
+def test_rare_language_is_learned_from_a_large_table(spark):
+    s = language.Settings(train_docs=60, least_docs=10)
+    rows = [(i, t, lang) for i, t, lang in language_rows() if lang != "fr"] + [(None, WORDS["fr"], "fr")] * 2
+    m = language.fit(docs(spark, rows), F.lit(True), s)
+    assert m.names == ["de", "en", "fr"]
+    assert language._bound([2, 200, 200], s) == 29 and language._bound([5, 5], s) >= 5 and language._bound([9] * 20, s) == 10
+    got = collected(language.identify(docs(spark, [(1, WORDS["fr"]), (2, WORDS["en"])]), m))
+    assert (got[1].lang_pred, got[2].lang_pred) == ("fr", "en")

@@ -6,8 +6,9 @@ languages in each document; sets of its most probable languages grow one by one,
 set with the best likelihood, less half the logarithm of the number of words for each
 further language, is taken. The prediction is the language of the largest share.
 
-Models are counted over a sample of labelled rows whose expected size is at most
-`train_docs`; a table has `dims` numbers for each language and is broadcast.
+Models are counted over a sample of labelled rows. Each language has the same bound, so
+that the expected size is at most `train_docs`, or `least_docs` a language if that is more;
+languages below the bound are learned from whole. A table has `dims` numbers for each language and is broadcast.
 
 Defined cases: null text and text without a letter are `und` with score 0, as is every
 text if nothing was learned; rows with a null lang aren't learned from; repeated rows are
@@ -33,6 +34,7 @@ ASCII_LETTERS = table((0x41, 0x5A), (0x61, 0x7A))
 @dataclass(frozen=True)
 class Settings:
     train_docs: int = 40_000
+    least_docs: int = 200
     dims: int = 1 << 15
     smoothing: float = 0.3
     rounds: int = 10
@@ -62,11 +64,26 @@ def trigrams(data: np.ndarray, offsets: np.ndarray, dims: int) -> tuple[np.ndarr
     return place, start, np.searchsorted(at[start], offsets)
 
 
+def _bound(sizes: list[int], s: Settings) -> float:
+    """The bound of each language at which all take `train_docs`, from their ascending sizes."""
+    rest = s.train_docs
+    for k, n in enumerate(sizes):
+        if n * (len(sizes) - k) > rest:
+            return max(rest / (len(sizes) - k), s.least_docs)
+        rest -= n
+    return s.train_docs
+
+
 def fit(docs: DataFrame, learn: Column, s: Settings = Settings()) -> Model:
     """Trigram models of each lang from the documents that `learn`, a condition on doc_id, lets through."""
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text").filter(learn).filter("lang is not null and text is not null")
-    rows = known.count()
-    part = known if rows <= s.train_docs else known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * s.train_docs / rows))
+    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}  # a row a language
+    bound = _bound(sorted(sizes.values()), s)
+    rates = [(lang, int(bound / n * (1 << 53))) for lang, n in sizes.items() if n > bound]
+    part = known
+    if rates:
+        told = docs.sparkSession.createDataFrame(rates, "lang string, rate long")
+        part = known.join(F.broadcast(told), "lang", "left").filter(F.col("rate").isNull() | (F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 53)) < F.col("rate")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
