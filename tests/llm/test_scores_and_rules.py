@@ -220,3 +220,13 @@ def test_rare_language_is_learned_from_a_large_table(spark):
     assert language._bound([2, 200, 200], s) == 29 and language._bound([5, 5], s) >= 5 and language._bound([9] * 20, s) == 10
     got = collected(language.identify(docs(spark, [(1, WORDS["fr"]), (2, WORDS["en"])]), m))
     assert (got[1].lang_pred, got[2].lang_pred) == ("fr", "en")
+
+
+def test_pseudonyms_beside_marks(spark):
+    texts = ["10.0.0.1-10.0.0.99", "id_4111111111111111", "x-123-45-6789", "v.2020-01-02", "a%+49 30 1234567", "1.10.0.0.1.5", "b4111111111111111", "a.b-c@x.org"]
+    got = collected(pseudonyms.pseudonymise(docs(spark, list(enumerate(texts))), KEY))
+    found = [tuple(got[i][f"n_{k}"] for k in ("ip", "card", "ssn", "date", "phone", "email")) for i in range(8)]
+    assert found == [(2, 0, 0, 0, 0, 0), (0, 1, 0, 0, 0, 0), (0, 0, 1, 0, 0, 0), (0, 0, 0, 1, 0, 0), (0, 0, 0, 0, 1, 0), (0,) * 6, (0,) * 6, (0, 0, 0, 0, 0, 1)]
+    assert all(t not in got[i].text for i, t in enumerate(["10.0.0.99", "4111111111111111", "123-45-6789", "2020-01-02", "1234567"]))
+    back = collected(pseudonyms.restore(docs(spark, [(i, got[i].text) for i in range(7)]), KEY))
+    assert all(back[i].text == texts[i] for i in range(7))

@@ -22,14 +22,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 10
-#: The formats that are looked for. A value must not touch further letters or digits.
+#: The formats that are looked for. A value must not touch further letters or digits, nor an
+#: address the rest of a longer dotted number; an e-mail name begins where its characters do.
 EMAIL = r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 IPV4 = r"\d{1,3}(?:\.\d{1,3}){3}(?![.]?\d)"
 DATE = r"\d{4}-\d{2}-\d{2}|\d{2}[./]\d{2}[./]\d{4}"
 PHONE = r"\+\d{1,3}[ -]?\(?\d{2,4}\)?(?:[ -]?\d{2,4}){2,3}|\(\d{3}\) ?\d{3}-\d{4}"
 SSN = r"\d{3}-\d{2}-\d{4}"
 CARD = r"\d{4}(?:[ -]\d{4}){2}[ -]\d{1,7}|\d{13,19}"
-FOUND = rf"(?<![A-Za-z0-9._%+-])(?:{EMAIL}|(?:{IPV4}|{DATE}|{PHONE}|{SSN}|{CARD})(?![A-Za-z0-9]))"
+FOUND = rf"(?<![A-Za-z0-9._%+-]){EMAIL}|(?<![A-Za-z0-9])(?:(?<!\d[.]){IPV4}|{DATE}|{PHONE}|{SSN}|{CARD})(?![A-Za-z0-9])"
 KINDS = ("email", "ip", "date", "phone", "ssn", "card")
 
 
