@@ -256,3 +256,11 @@ def test_streaming_windows(spark, tmp_path):
     q = manifest.windowed(stream).writeStream.outputMode("complete").format("memory").queryName("w").trigger(availableNow=True).start()
     q.awaitTermination()
     assert sorted(r.total for r in spark.table("w").collect()) == [3.0, 5.0]
+
+
+def test_range_shrinks_to_stitchable_tiles(spark):
+    good = {(1, 2), (3, 1)}
+    tiles = spark.createDataFrame([(r, c, (r, c) in good) for r in range(5) for c in range(4)], "r0 int, c0 int, stitchable boolean")
+    got = align.stitchable_range(tiles, "r0", "c0")
+    assert got.columns == tiles.columns and sorted((x.r0, x.c0) for x in got.collect()) == [(r, c) for r in (1, 2, 3) for c in (1, 2)]
+    assert align.stitchable_range(tiles.withColumn("stitchable", F.lit(False)), "r0", "c0").count() == 0

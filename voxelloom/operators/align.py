@@ -112,6 +112,13 @@ def stitchable(edges: DataFrame, tile: list[str], least: float) -> DataFrame:
     return edges.groupBy(*tile).agg((F.max("reliability") >= least).alias("stitchable"))
 
 
+def stitchable_range(tiles: DataFrame, row: str, col: str) -> DataFrame:
+    """The tiles without the outer rows and columns that hold no stitchable tile; none if no tile is stitchable."""
+    ends = tiles.filter("stitchable").agg(F.min(row).alias("_r0"), F.max(row).alias("_r1"), F.min(col).alias("_c0"), F.max(col).alias("_c1"))
+    inside = F.col(row).between(F.col("_r0"), F.col("_r1")) & F.col(col).between(F.col("_c0"), F.col("_c1"))
+    return tiles.crossJoin(F.broadcast(ends)).filter(inside).select(tiles.columns)
+
+
 def best_alignment(records: DataFrame, keys: list[str]) -> DataFrame:
     """Offsets of the greatest score above 0, the first of ties; zeros where there is none."""
     good = F.col("score") > 0
