@@ -45,3 +45,22 @@ def test_query(spark, con, name):
     want = con.sql(ORACLES[name])
     assert sorted(df.columns) == sorted(want.columns)
     assert rows(df.columns, got) == rows(want.columns, want.fetchall())
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
+def test_mask_labels_match_brute_force(spark):
+    from voxelloom.plans.volume_queries import voxels
+
+    cells = {(r.z, r.y, r.x) for r in voxels(spark, SF).filter("v > 49").select("z", "y", "x").distinct().collect()}
+    want, todo = {}, []
+    for start in sorted(cells):
+        if start not in want:
+            want[start], todo = (start[0] * 64 + start[1]) * (1 << 31) + start[2], [start]
+        while todo:
+            z, y, x = todo.pop()
+            for near in ((z, y + 1, x), (z, y - 1, x), (z, y, x + 1), (z, y, x - 1)):
+                if near in cells and near not in want:
+                    want[near] = want[z, y, x]
+                    todo.append(near)
+    got = QUERIES["mask_component_labels"](spark, SF).collect()
+    assert len(got) == len(cells) and {(r.z, r.y, r.x): r.label for r in got} == want

@@ -692,6 +692,13 @@ def event_windows(spark, sf_dir):
     return w.select("event_type", F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("start"), "n", "total")
 
 
+@query()
+def mask_component_labels(spark, sf_dir):
+    """(z, y, x, label) of each cell of the mask, by components within the planes; tested against brute force."""
+    cells = voxels(spark, sf_dir).filter("v > 49").select((F.col("z") * 64 + F.col("y")).alias("y"), "x")
+    return place.connected(cells).select(F.floor(F.col("y") / 64).cast("int").alias("z"), (F.col("y") % 64).cast("int").alias("y"), "x", "label")
+
+
 # kernels: no SQL, tested against direct numpy versions
 
 
