@@ -8,22 +8,27 @@ Groups of any size stay distributed. Equal sets are one class before anything el
 A bucket's leader is the class whose buckets are most populous (a template that
 thousands of copies derive from leads all of them). Each class first meets the foremost
 of its leaders; then, where a bucket still holds several components, the members of
-others meet its leader; what is left meets in a join that keeps only pairs of different
-components whose estimate allows a link and whose parity bits, a bound that is never
-wrong, don't rule it out. Pairs inside one component can't change it
-and are never made.
+others meet its leader. What is left of a bucket of a few members meets in a join; the
+members of larger buckets meet on the rarest of their shingles only: of two sets that
+link, those that exceed the shared part can't fill the rarest (100 - percent) % of either,
+so a passage that makes thousands of texts alike pairs none of them. Both joins keep only
+pairs of different components whose estimate allows a link and whose parity bits, a bound
+that is never wrong, don't rule it out. Pairs inside one component can't change it and are
+never made. Hot buckets, leaders and shingles are dealt over salts.
 
 Defined cases: null or empty text, or one without words, has an empty set, is its own
 component and is kept. A text shorter than five words is one shingle. Rows that share a
 doc_id with unequal texts are separate rows. Rows with a null doc_id are grouped like
 others; component_id is the least doc_id that isn't null, and null if there is none
-(then kept is true). Extra columns are ignored.
+(then kept is true). Repeated rows are one class. A very long text is read whole, as a
+slice of its own. An empty table gives no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
+from pyspark.sql.window import Window
 
 from .graph import components
 from .storage import discard, written
@@ -42,7 +48,9 @@ _SIGNED = "doc_id long, n_shingles long, cls binary, sig array<long>, bits array
 @dataclass(frozen=True)
 class Plan:
     """width: words of a shingle. percent: least similarity. bands of rows of the minima. slack: how far below
-    the threshold an estimate may lie, at five standard errors of the estimate."""
+    the threshold an estimate may lie, at five standard errors of the estimate. filter_bits: the most bits of a filter
+    that is broadcast; it has 32 for each key, and passes more keys beyond that. few: the members of a bucket that may
+    meet directly. hot_rows: rows of a key that one salt holds."""
 
     width: int = 5
     percent: int = 85
@@ -50,8 +58,10 @@ class Plan:
     bands: int = 21
     rows: int = 6
     slack: float = 0.19
-    filter_bits: int = 1 << 23
+    filter_bits: int = 1 << 28
     parity_bits: int = 2048
+    few: int = 32
+    hot_rows: int = 1024
 
 
 def _coefficients(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -169,16 +179,25 @@ def _places(key: np.ndarray, ids: np.ndarray, bits: int) -> np.ndarray:
     return ((key.byteswap() >> U64(16)).astype(np.int64) + np.mod(ids, 1 << 23) * 40503) % bits
 
 
+def _mask(places: DataFrame) -> DataFrame:
+    """(w, m): the words of 64 bits of a filter with the given places set."""
+    return places.groupBy(F.floor(F.col("p") / 64).cast("long").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("m"))
+
+
+def _bits(keys: int, plan: Plan) -> int:
+    return min(plan.filter_bits, 1 << max(12, (32 * keys).bit_length()))
+
+
 def _sets(docs: DataFrame, wanted: DataFrame, plan: Plan) -> DataFrame:
     """(cls, shingles) of the wanted (cls, doc_id), from the texts.
 
-    A bit filter of fixed size goes to all tasks; it only spares rows that can't be wanted,
+    A bit filter of bounded size goes to all tasks; it only spares rows that can't be wanted,
     and the join after it decides.
     """
-    bits = plan.filter_bits
-    words = wanted.select(_place(bits).alias("p")).groupBy((F.col("p") / 64).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("m")).toPandas()
+    bits = _bits(wanted.count(), plan)
+    words = _mask(wanted.select(_place(bits).alias("p"))).toArrow()
     mask = np.zeros(bits // 64, np.int64)
-    mask[words.w.to_numpy(int)] = words.m.to_numpy(np.int64)
+    mask[words["w"].to_numpy()] = words["m"].to_numpy()
     held = docs.sparkSession.sparkContext.broadcast(mask)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,34 +216,89 @@ def _sets(docs: DataFrame, wanted: DataFrame, plan: Plan) -> DataFrame:
     return some.join(wanted.select("cls").distinct(), "cls", "left_semi").dropDuplicates(["cls"])
 
 
+def _hot(rows: DataFrame, key: str, plan: Plan) -> DataFrame | None:
+    """(key, _s): over how many salts the rows of a hot key go; None if no key is hot."""
+    found = written(rows.groupBy(key).agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > plan.hot_rows).select(key, F.ceil(F.col("c") / plan.hot_rows).cast("int").alias("_s")), "hot")
+    return None if found.isEmpty() else found
+
+
+def _dealt(left: DataFrame, right: DataFrame, key: str, by: str, hot: DataFrame | None, condition: Column | None = None) -> DataFrame:
+    """Inner join on `key`; rows of a hot key on the left are dealt over its salts by `by`, those on the right repeated for each."""
+    if hot is None:
+        out = left.join(right, key)
+    else:
+        told = lambda df: df.join(hot, key, "left").withColumn("_s", F.coalesce("_s", F.lit(1)))
+        one = told(left).withColumn("_k", F.pmod(F.xxhash64(by), F.col("_s")).cast("int")).drop("_s")
+        two = told(right).withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("_s") - 1))).drop("_s")
+        out = one.join(two, [key, "_k"]).drop("_k")
+    return out if condition is None else out.filter(condition)
+
+
 def _confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, plan: Plan) -> DataFrame:
-    """The pairs (a, b) of classes whose full sets meet the threshold."""
+    """The pairs (a, b) of classes whose full sets meet the threshold; many pairs may share b."""
     ends = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
     wanted = written(ends.join(classes.select("cls", F.col("first_id").alias("doc_id")), "cls"), "wanted")
     sets = written(_sets(docs, wanted, plan), "sets")
     one = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("sa"))
     two = sets.select(F.col("cls").alias("b"), F.col("shingles").alias("sb"))
-    both = pairs.select("a", "b").join(one, "a").join(two, "b")
+    hot = _hot(pairs, "b", plan)
+    both = _dealt(pairs.select("a", "b").join(one, "a"), two, "b", "a", hot)
     shared = F.size(F.array_intersect("sa", "sb")).cast("long")
     sized = both.select("a", "b", shared.alias("s"), (F.size("sa") + F.size("sb")).cast("long").alias("t"))
     links = written(sized.filter(100 * F.col("s") >= plan.percent * (F.col("t") - F.col("s"))).select("a", "b"), "links")
-    discard(wanted, sets)
+    discard(wanted, sets, *([hot] if hot is not None else []))
     return links
 
 
-def _led(members: DataFrame, *more: str) -> DataFrame:
-    """(bucket, a, b, sa, sb, weight, la, lb): the members of each bucket and its leader b, the class of the greatest weight."""
+def _led(members: DataFrame, plan: Plan, *more: str) -> DataFrame:
+    """(a, b, sa, sb, weight, la, lb): the members of each bucket and its leader b, the class of the greatest weight."""
     label = F.col("label") if "label" in more else F.lit(None)
     told = members.select("bucket", "weight", "cls", "sig", label.alias("label"))
     lead = told.groupBy("bucket").agg(F.max(F.struct("weight", "cls", "sig", "label")).alias("l")).select("bucket", F.col("l.weight").alias("weight"), F.col("l.cls").alias("b"), F.col("l.sig").alias("sb"), F.col("l.label").alias("lb"))
-    return told.select("bucket", F.col("cls").alias("a"), F.col("sig").alias("sa"), F.col("label").alias("la")).join(lead, "bucket").filter("a <> b")
+    return _dealt(told.select("bucket", F.col("cls").alias("a"), F.col("sig").alias("sa"), F.col("label").alias("la")), lead, "bucket", "a", _hot(members, "bucket", plan), F.col("a") != F.col("b"))
 
 
 def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members, with their components, of the buckets that hold more than one."""
-    placed = members.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
-    several = placed.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("bucket")
-    return placed.join(several, "bucket")
+    """Members, with their components, of the buckets that hold more than one, and how many members those have.
+
+    The buckets are written before the join, so that it has no aggregate in its stage and hot ones can be split.
+    """
+    placed = written(members.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls")), "placed")
+    several = written(placed.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("c")).filter("lo <> hi").select("bucket", "c"), "several")
+    out = written(placed.join(several, "bucket"), "open")
+    discard(placed, several)
+    return out
+
+
+def _across(x: DataFrame, y: DataFrame, key: str, hot: DataFrame | None, plan: Plan) -> DataFrame:
+    """(a, b) of different components under one key whose estimate and parity allow a link; x, y: key, cls, label, sig, n, bits."""
+    c = F.col
+    best = plan.percent / 100 - plan.slack
+    one, two = (df.select(key, c("cls").alias(k), *(c(n).alias(f"{n}_{k}") for n in ("sig", "label", "n", "bits"))) for df, k in ((x, "a"), (y, "b")))
+    fits = (c("label_a") < c("label_b")) & (estimate(c("sig_a"), c("sig_b"), plan) >= best) & possible(c("bits_a"), c("bits_b"), c("n_a"), c("n_b"), plan)
+    return _dealt(one, two, key, "a", hot, fits).select("a", "b")
+
+
+def _rare(docs: DataFrame, classes: DataFrame, some: DataFrame, plan: Plan) -> DataFrame:
+    """Pairs of the classes of `some` (cls, label, sig) that share one of the rarest shingles of both.
+
+    Rarity is counted over `some`. Of n shingles, a link needs `percent` of them, so one at least of the n - that + 1
+    rarest; a shingle that one class alone has takes up a place and meets nothing.
+    """
+    wanted = written(some.select("cls").join(classes.select("cls", F.col("first_id").alias("doc_id")), "cls"), "wanted")
+    sets = written(_sets(docs, wanted, plan), "sets")
+    tokens = sets.select("cls", F.size("shingles").cast("long").alias("size"), F.explode("shingles").alias("token"))
+    often = written(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("f")).filter("f > 1"), "often")
+    own = Window.partitionBy("cls")
+    ranked = tokens.join(often, "token").withColumn("shared", F.count(F.lit(1)).over(own)).withColumn("r", F.row_number().over(own.orderBy("f", "token")))
+    reach = F.col("size") - F.ceil(F.col("size") * plan.percent / 100) + 1
+    rare = written(ranked.filter(F.col("r") <= reach - (F.col("size") - F.col("shared"))).select("cls", "token"), "rare")
+    placed = rare.join(some.select("cls", "label"), "cls")
+    meet = written(placed.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("token"), "meet")
+    met = written(rare.join(meet, "token").join(some.join(classes.select("cls", "n", "bits"), "cls"), "cls"), "met")
+    pairs = written(_across(met, met, "token", _hot(met, "token", plan), plan).distinct(), "pairs")
+    discard(wanted, sets, often, rare, meet, met)
+    return pairs
 
 
 def _joined(docs: DataFrame, classes: DataFrame, pairs: DataFrame, links: DataFrame, labels: DataFrame, plan: Plan) -> tuple[DataFrame, DataFrame]:
@@ -247,33 +321,34 @@ def _grouped(docs: DataFrame, plan: Plan) -> DataFrame:
     classes = written(every.filter("n_shingles > 0").groupBy("cls").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("class_size"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.first("bits").alias("bits"), F.first("bands").alias("bands")), "classes")
     discard(every)
     spread = classes.select("cls", F.explode("bands").alias("bucket"))
-    busy = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-    plain = written(spread.join(busy, "bucket"), "members")
+    busy = written(spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"), "busy")
+    plain = written(spread.join(busy, "bucket"), "members")  # both sides are plain reads, so that a hot bucket can be split
     weight = plain.groupBy("cls").agg(F.sum("c").alias("weight")).join(classes.select("cls", "sig"), "cls")
     members = written(plain.select("bucket", "cls").join(weight, "cls"), "members")
-    discard(plain)
-    best = F.least(F.lit(1.0), F.lit(plan.percent / 100)) - plan.slack
+    discard(plain, busy)
+    best = plan.percent / 100 - plan.slack
+    alike = estimate(F.col("sa"), F.col("sb"), plan) >= best
 
     # each class and the foremost of its buckets' leaders
-    led = _led(members).filter(estimate(F.col("sa"), F.col("sb"), plan) >= best)
-    first = written(led.groupBy("a").agg(F.max(F.struct("weight", "b")).alias("l")).select("a", F.col("l.b").alias("b")), "pairs")
+    first = written(_led(members, plan).filter(alike).groupBy("a").agg(F.max(F.struct("weight", "b")).alias("l")).select("a", F.col("l.b").alias("b")), "pairs")
     links = _confirmed(docs, classes, first, plan)
     labels = components(links)
     discard(first)
 
     # where a bucket still holds several components: its leader and the members of others
     open_ = _open(members, labels)
-    led = _led(open_, "label").filter((F.col("la") != F.col("lb")) & (estimate(F.col("sa"), F.col("sb"), plan) >= best))
-    links, labels = _joined(docs, classes, led.select("a", "b").distinct(), links, labels, plan)
-
-    # and then any two members of different components
-    rest = written(_open(members, labels).select("bucket", "cls", "sig", "label").join(classes.select("cls", "n", "bits"), "cls"), "open")
-    x, y = (rest.select("bucket", F.col("cls").alias(k), *(F.col(c).alias(f"{c}_{k}") for c in ("sig", "label", "n", "bits"))) for k in ("a", "b"))
-    c = F.col
-    across = x.join(y, "bucket").filter(c("label_a") < c("label_b")).filter(estimate(c("sig_a"), c("sig_b"), plan) >= best).filter(possible(c("bits_a"), c("bits_b"), c("n_a"), c("n_b"), plan))
-    links, labels = _joined(docs, classes, across.select("a", "b").distinct(), links, labels, plan)
-
-    discard(rest, members)
+    links, labels = _joined(docs, classes, _led(open_, plan, "label").filter((F.col("la") != F.col("lb")) & alike).select("a", "b").distinct(), links, labels, plan)
+    discard(open_)
+
+    # and then members of different components: any two of a small bucket, those with a rare shingle in common of others
+    rest = _open(members, labels)
+    told = rest.filter(F.col("c") <= plan.few).select("bucket", "cls", "label", "sig").join(classes.select("cls", "n", "bits"), "cls")
+    pairs = [_across(told, told, "bucket", None, plan)]
+    large = written(rest.filter(F.col("c") > plan.few).select("cls", "label", "sig").distinct(), "large")
+    if not large.isEmpty():
+        pairs.append(_rare(docs, classes, large, plan))
+    links, labels = _joined(docs, classes, reduce(DataFrame.union, pairs).distinct(), links, labels, plan)
+    discard(rest, large, members, *pairs[1:])
 
     # from classes to documents
     own = classes.select("cls", "first_id", "class_size").join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
@@ -311,13 +386,31 @@ def drop_near_duplicates(docs: DataFrame, plan: Plan = Plan(), once: bool = True
     found = written(_grouped(docs, plan), "dedup")
     gone = found.filter("not kept and doc_id is not null").select("doc_id")
     again = written(found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "again")
+    named = written(gone.union(again).distinct(), "named")
+    clear, held = _sieved(docs, named, plan)
+    kept = held.join(gone, held["_id"] == gone["doc_id"], "left_anti").join(again, held["_id"] == again["doc_id"], "left_anti")
+    out = clear.select("row").union(kept.select("row"))
     if again.isEmpty():
-        return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
-    single = docs.join(gone, "doc_id", "left_anti").join(again, "doc_id", "left_anti")
+        return out.select("row.*")
     own = found.filter("kept and cls is not null").join(again, "doc_id", "left_semi")
-    chosen = own.groupBy("label").agg(F.min(F.struct("doc_id", "cls")).alias("c")).select("c.doc_id", F.col("c.cls").alias("_cls"))
-    several = _keyed(docs.join(again, "doc_id", "left_semi").select(docs.columns), plan)
-    kept = several.filter("_cls is not null").join(chosen, ["doc_id", "_cls"], "left_semi").dropDuplicates(["doc_id", "_cls"]).unionByName(several.filter("_cls is null"))
+    chosen = own.groupBy("label").agg(F.min(F.struct("doc_id", "cls")).alias("c")).select(F.col("c.doc_id").alias("_id"), F.col("c.cls").alias("_cls"))
+    several = _keyed(held.join(again, held["_id"] == again["doc_id"], "left_semi"), plan)
+    some = several.filter("_cls is not null").join(chosen, ["_id", "_cls"], "left_semi").dropDuplicates(["_id", "_cls"]).unionByName(several.filter("_cls is null"))
     if once:
-        kept = kept.dropDuplicates(["doc_id"])
-    return single.select(docs.columns).unionByName(kept.select(docs.columns))
+        some = some.dropDuplicates(["_id"])
+    return out.union(some.select("row")).select("row.*")
+
+
+def _sieved(docs: DataFrame, named: DataFrame, plan: Plan) -> tuple[DataFrame, DataFrame]:
+    """The documents whose id is surely not among the named, and the others: row (all columns), text, _id.
+
+    A bit filter of bounded size is joined where the texts lie, so that only the others have to move.
+    """
+    bits = min(_bits(named.count(), plan), 1 << 26)  # a million words at most
+    place = lambda x: F.pmod(F.xxhash64(x), F.lit(bits))
+    mask = _mask(named.select(place(F.col("doc_id")).alias("p"))).select(F.col("w").alias("_w"), F.col("m").alias("_m"))
+    mask = written(mask, "mask")
+    told = docs.select(F.struct(*docs.columns).alias("row"), "text", F.col("doc_id").cast("long").alias("_id"))
+    told = told.withColumn("_p", place(F.col("_id"))).withColumn("_w", F.floor(F.col("_p") / 64).cast("long")).join(F.broadcast(mask), "_w", "left")
+    hit = F.expr("_id is not null and _m is not null and shiftright(_m, cast(_p % 64 as int)) & 1 = 1")
+    return told.filter(~hit), told.filter(hit).select("row", "text", "_id")
