@@ -10,9 +10,8 @@ thousands of copies derive from leads all of them). Each class first meets the f
 of its leaders; then, where a bucket still holds several components, the members of
 others meet its leader. What is left of a bucket of a few members meets in a join; the
 members of larger buckets meet on the rarest of their shingles only: of two sets that
-link, those that exceed the shared part can't fill the rarest (100 - percent) % of either,
-so a passage that makes thousands of texts alike pairs none of them. Both joins keep only
-pairs of different components whose estimate allows a link and whose parity bits, a bound
+link, the shingles that one has alone can't fill the rarest of both, so a passage that makes
+thousands of texts alike pairs none of them. Both joins keep only pairs of different components whose estimate allows a link and whose parity bits, a bound
 that is never wrong, don't rule it out. Pairs inside one component can't change it and are
 never made. Hot buckets, leaders and shingles are dealt over salts.
 
@@ -49,7 +48,7 @@ _SIGNED = "doc_id long, n_shingles long, cls binary, sig array<long>, bits array
 class Plan:
     """width: words of a shingle. percent: least similarity. bands of rows of the minima. slack: how far below
     the threshold an estimate may lie, at five standard errors of the estimate. filter_bits: the most bits of a filter
-    that is broadcast; it has 32 for each key, and passes more keys beyond that. few: the members of a bucket that may
+    that is broadcast, as a million numbers; it has 32 for each key, and passes more rows beyond that. few: the members of a bucket that may
     meet directly. hot_rows: rows of a key that one salt holds."""
 
     width: int = 5
@@ -58,7 +57,7 @@ class Plan:
     bands: int = 21
     rows: int = 6
     slack: float = 0.19
-    filter_bits: int = 1 << 28
+    filter_bits: int = 1 << 26
     parity_bits: int = 2048
     few: int = 32
     hot_rows: int = 1024
@@ -170,50 +169,36 @@ def possible(a: Column, b: Column, na: Column, nb: Column, plan: Plan) -> Column
     return (100 - plan.percent) * (na + nb) >= (100 + plan.percent) * F.greatest(apart.cast("long"), F.abs(na - nb))
 
 
-def _place(bits: int) -> Column:
-    """A place in the bit filter from the class key and doc_id; _places computes the same."""
-    return F.pmod(F.conv(F.hex(F.substring("cls", 1, 6)), 16, 10).cast("long") + F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(1 << 23)) * 40503, F.lit(bits))
-
-
-def _places(key: np.ndarray, ids: np.ndarray, bits: int) -> np.ndarray:
-    return ((key.byteswap() >> U64(16)).astype(np.int64) + np.mod(ids, 1 << 23) * 40503) % bits
-
-
-def _mask(places: DataFrame) -> DataFrame:
-    """(w, m): the words of 64 bits of a filter with the given places set."""
-    return places.groupBy(F.floor(F.col("p") / 64).cast("long").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("m"))
-
-
 def _bits(keys: int, plan: Plan) -> int:
     return min(plan.filter_bits, 1 << max(12, (32 * keys).bit_length()))
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, plan: Plan) -> DataFrame:
-    """(cls, shingles) of the wanted (cls, doc_id), from the texts.
+def _sieved(docs: DataFrame, ids: DataFrame, plan: Plan) -> tuple[DataFrame, DataFrame]:
+    """The documents whose doc_id is surely not among `ids`, and the others: row (all columns), text, _id.
 
-    A bit filter of bounded size goes to all tasks; it only spares rows that can't be wanted,
-    and the join after it decides.
+    A bit filter of bounded size is joined where the texts lie, so that only the others have to move or be read again;
+    what is joined after it decides.
     """
-    bits = _bits(wanted.count(), plan)
-    words = _mask(wanted.select(_place(bits).alias("p"))).toArrow()
-    mask = np.zeros(bits // 64, np.int64)
-    mask[words["w"].to_numpy()] = words["m"].to_numpy()
-    held = docs.sparkSession.sparkContext.broadcast(mask)
+    bits = _bits(ids.count(), plan)
+    place = lambda x: F.pmod(F.xxhash64(x), F.lit(bits))
+    words = ids.select(place(F.col("doc_id")).alias("p")).groupBy(F.floor(F.col("p") / 64).cast("long").alias("_w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("_m"))
+    told = docs.select(F.struct(*docs.columns).alias("row"), "text", F.col("doc_id").cast("long").alias("_id"))
+    told = told.withColumn("_p", place(F.col("_id"))).withColumn("_w", F.floor(F.col("_p") / 64).cast("long")).join(F.broadcast(written(words, "mask")), "_w", "left")
+    hit = F.expr("_m is not null and shiftright(_m, cast(_p % 64 as int)) & 1 = 1")
+    return told.filter(~hit), told.filter(hit).select("row", "text", "_id")
+
+
+def _sets(docs: DataFrame, wanted: DataFrame, plan: Plan) -> DataFrame:
+    """(cls, shingles) of the wanted (cls, doc_id), from the texts that have a wanted doc_id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = held.value
         for rows, data, offsets in slices(batches, "text"):
             flat, first = shingle_sets(data, offsets, plan.width)
             one, two = set_keys(flat, first)
-            p = _places(one, rows.column(0).fill_null(0).to_numpy(), bits)
-            keep = np.flatnonzero((m[p >> 6] >> (p & 63) & 1).astype(bool) & (np.diff(first) > 0))
-            if len(keep):
-                sets = [flat[first[r] : first[r + 1]] for r in keep]
-                ends = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
-                yield pa.RecordBatch.from_arrays([binary16(one[keep], two[keep]), lists(np.concatenate(sets).view(np.int64), ends)], names=["cls", "shingles"])
+            yield pa.RecordBatch.from_arrays([binary16(one, two), lists(flat.view(np.int64), first)], names=["cls", "shingles"])
 
-    some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "cls binary, shingles array<long>")
-    return some.join(wanted.select("cls").distinct(), "cls", "left_semi").dropDuplicates(["cls"])
+    some = _sieved(docs.select("doc_id", "text"), wanted, plan)[1].select("text").mapInArrow(run, "cls binary, shingles array<long>")
+    return some.filter(F.size("shingles") > 0).join(wanted.select("cls").distinct(), "cls", "left_semi").dropDuplicates(["cls"])
 
 
 def _hot(rows: DataFrame, key: str, plan: Plan) -> DataFrame | None:
@@ -270,34 +255,51 @@ def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
     return out
 
 
-def _across(x: DataFrame, y: DataFrame, key: str, hot: DataFrame | None, plan: Plan) -> DataFrame:
-    """(a, b) of different components under one key whose estimate and parity allow a link; x, y: key, cls, label, sig, n, bits."""
+def _sides(members: DataFrame, key: str, *more: str) -> tuple[DataFrame, DataFrame]:
+    names = ("sig", "label", "n", "bits", *more)
+    return tuple(members.select(key, F.col("cls").alias(k), *(F.col(n).alias(f"{n}_{k}") for n in names)) for k in ("a", "b"))
+
+
+def _fits(plan: Plan) -> Column:
+    """Whether a and b are of different components and their estimate and parity allow a link."""
     c = F.col
-    best = plan.percent / 100 - plan.slack
-    one, two = (df.select(key, c("cls").alias(k), *(c(n).alias(f"{n}_{k}") for n in ("sig", "label", "n", "bits"))) for df, k in ((x, "a"), (y, "b")))
-    fits = (c("label_a") < c("label_b")) & (estimate(c("sig_a"), c("sig_b"), plan) >= best) & possible(c("bits_a"), c("bits_b"), c("n_a"), c("n_b"), plan)
-    return _dealt(one, two, key, "a", hot, fits).select("a", "b")
+    alike = estimate(c("sig_a"), c("sig_b"), plan) >= plan.percent / 100 - plan.slack
+    return (c("label_a") != c("label_b")) & alike & possible(c("bits_a"), c("bits_b"), c("n_a"), c("n_b"), plan)
+
+
+def _across(members: DataFrame, plan: Plan) -> DataFrame:
+    """(a, b) under one bucket that may link, each pair once."""
+    one, two = _sides(members, "bucket")
+    return one.join(two, "bucket").filter((F.col("a") < F.col("b")) & _fits(plan)).select("a", "b")
 
 
 def _rare(docs: DataFrame, classes: DataFrame, some: DataFrame, plan: Plan) -> DataFrame:
-    """Pairs of the classes of `some` (cls, label, sig) that share one of the rarest shingles of both.
+    """Pairs of the classes of `some` (cls, label, sig) that may link and share a rare shingle of both.
 
-    Rarity is counted over `some`. Of n shingles, a link needs `percent` of them, so one at least of the n - that + 1
-    rarest; a shingle that one class alone has takes up a place and meets nothing.
+    The shingles of a class are in order of how many classes of `some` have them, and `at` is their place, from 1. Two
+    sets of n and m that link share `least` = percent / (100 + percent) of n + m at least. The first they share has
+    no more than n - at shared ones after it, so n - at + 1 >= least, and as much for m; in the smaller set, where least
+    is 2 * percent / (100 + percent) of n or more, that leaves few places, and those of shingles that one class alone
+    has meet nothing.
     """
+    p = plan.percent
     wanted = written(some.select("cls").join(classes.select("cls", F.col("first_id").alias("doc_id")), "cls"), "wanted")
     sets = written(_sets(docs, wanted, plan), "sets")
     tokens = sets.select("cls", F.size("shingles").cast("long").alias("size"), F.explode("shingles").alias("token"))
     often = written(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("f")).filter("f > 1"), "often")
     own = Window.partitionBy("cls")
-    ranked = tokens.join(often, "token").withColumn("shared", F.count(F.lit(1)).over(own)).withColumn("r", F.row_number().over(own.orderBy("f", "token")))
-    reach = F.col("size") - F.ceil(F.col("size") * plan.percent / 100) + 1
-    rare = written(ranked.filter(F.col("r") <= reach - (F.col("size") - F.col("shared"))).select("cls", "token"), "rare")
-    placed = rare.join(some.select("cls", "label"), "cls")
-    meet = written(placed.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("token"), "meet")
-    met = written(rare.join(meet, "token").join(some.join(classes.select("cls", "n", "bits"), "cls"), "cls"), "met")
-    pairs = written(_across(met, met, "token", _hot(met, "token", plan), plan).distinct(), "pairs")
-    discard(wanted, sets, often, rare, meet, met)
+    at = F.col("size") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("f", "token"))
+    left = (F.col("size") - F.col("at") + 1).alias("left")
+    rare = written(tokens.join(often, "token").withColumn("at", at).select("cls", "token", left, "size").filter(F.col("left") * 100 >= F.col("size") * p).withColumn("small", F.col("left") * (100 + p) >= F.col("size") * 2 * p), "rare")
+    several = rare.join(some.select("cls", "label"), "cls").groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.max("small").alias("small"))
+    meet = written(several.filter("lo <> hi and small").select("token"), "meet")
+    met = written(rare.join(meet, "token").select("cls", "token", "left", "small").join(some.join(classes.select("cls", "n", "bits"), "cls"), "cls"), "met")
+    one, two = _sides(met, "token", "left", "small")
+    c = F.col
+    least = (F.least("left_a", "left_b") * (100 + p) >= p * (c("n_a") + c("n_b"))) & (F.struct("n_a", "a") < F.struct(c("n_b").alias("n_a"), c("b").alias("a")))
+    hot = _hot(met, "token", plan)
+    pairs = written(_dealt(one.filter("small_a"), two, "token", "a", hot, least & _fits(plan)).select("a", "b").distinct(), "pairs")
+    discard(wanted, sets, often, rare, meet, met, *([hot] if hot is not None else []))
     return pairs
 
 
@@ -343,7 +345,7 @@ def _grouped(docs: DataFrame, plan: Plan) -> DataFrame:
     # and then members of different components: any two of a small bucket, those with a rare shingle in common of others
     rest = _open(members, labels)
     told = rest.filter(F.col("c") <= plan.few).select("bucket", "cls", "label", "sig").join(classes.select("cls", "n", "bits"), "cls")
-    pairs = [_across(told, told, "bucket", None, plan)]
+    pairs = [_across(told, plan)]
     large = written(rest.filter(F.col("c") > plan.few).select("cls", "label", "sig").distinct(), "large")
     if not large.isEmpty():
         pairs.append(_rare(docs, classes, large, plan))
@@ -399,18 +401,3 @@ def drop_near_duplicates(docs: DataFrame, plan: Plan = Plan(), once: bool = True
     if once:
         some = some.dropDuplicates(["_id"])
     return out.union(some.select("row")).select("row.*")
-
-
-def _sieved(docs: DataFrame, named: DataFrame, plan: Plan) -> tuple[DataFrame, DataFrame]:
-    """The documents whose id is surely not among the named, and the others: row (all columns), text, _id.
-
-    A bit filter of bounded size is joined where the texts lie, so that only the others have to move.
-    """
-    bits = min(_bits(named.count(), plan), 1 << 26)  # a million words at most
-    place = lambda x: F.pmod(F.xxhash64(x), F.lit(bits))
-    mask = _mask(named.select(place(F.col("doc_id")).alias("p"))).select(F.col("w").alias("_w"), F.col("m").alias("_m"))
-    mask = written(mask, "mask")
-    told = docs.select(F.struct(*docs.columns).alias("row"), "text", F.col("doc_id").cast("long").alias("_id"))
-    told = told.withColumn("_p", place(F.col("_id"))).withColumn("_w", F.floor(F.col("_p") / 64).cast("long")).join(F.broadcast(mask), "_w", "left")
-    hit = F.expr("_id is not null and _m is not null and shiftright(_m, cast(_p % 64 as int)) & 1 = 1")
-    return told.filter(~hit), told.filter(hit).select("row", "text", "_id")
