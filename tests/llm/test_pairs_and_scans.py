@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -215,3 +216,28 @@ def test_suffix_array_orders_suffixes():
     order = decontaminate.SuffixArray(words, 16).order
     keys = [tuple(words[i : i + 16]) for i in order]
     assert keys == sorted(keys) and sorted(order) == list(range(300))
+
+
+@pytest.mark.parametrize("text", ["eyJ" * 340_000, "password " * 110_000, "eyJaaaaaaaa." * 80_000, "AKIA" * 250_000, "-----BEGIN " * 90_000], ids=["eyJ", "password", "dots", "AKIA", "BEGIN"])
+def test_secret_scan_is_linear(text):
+    began = time.perf_counter()
+    secrets.scan(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]), secrets.RULES)
+    assert time.perf_counter() - began < 5
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_starts_are_those_of_a_regex(seed):
+    r = random.Random(seed)
+    parts = ["eyJ", "abcdefgh1", ".", "eyJhbGciOiJI.eyJzdWIiOiIx.", "signature_0123456789", " ", "-", "é", "secret=", "abc123abc123z", "AKIA", "0123456789abcdef"]
+    jwt = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.([A-Za-z0-9_-]+)")
+    for _ in range(150):
+        text = "".join(r.choice(parts) for _ in range(30))
+        found = secrets.scan(*one_row(text), secrets.RULES).get(0, [])
+        want = [(m.start(), m.end()) for m in jwt.finditer(text) if len(m[1]) >= 16]
+        assert [(a, e) for a, k, e in found if secrets.RULES[k].kind == "jwt"] == want, text
+        assert [x for x in found if x[1] < 3] == base_spans(text)[0]
+
+
+def one_row(text):
+    data = np.frombuffer(text.encode(), np.uint8)
+    return data, np.array([0, len(data)])

@@ -7,6 +7,7 @@ The syntax is what rules of secrets need: literals, escapes (backslash and a cha
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 
@@ -96,6 +97,17 @@ class _Parser:
         return self.cased({self.char()})
 
 
+def _reversed(tree):
+    """The tree of the same texts read from their ends."""
+    kind, *rest = tree
+    if kind == "set":
+        return tree
+    if kind == "rep":
+        return (kind, _reversed(rest[0]), *rest[1:])
+    parts = [_reversed(x) for x in rest[0]]
+    return (kind, parts[::-1] if kind == "cat" else parts)
+
+
 class _Nfa:
     def __init__(self) -> None:
         self.free: list[list[int]] = []
@@ -161,19 +173,25 @@ class Dfa:
     classes: np.ndarray
     dead: int
 
+    @cached_property
+    def rows(self) -> list[list[int]]:
+        return self.next.tolist()
+
     def resets(self) -> np.ndarray:
         """[a, b]: whether the byte classes a and then b lead any state to the start."""
         return (self.next[self.next] == 0).all(axis=0)
 
 
-def build(patterns: list[tuple[str, bool]], anywhere: bool) -> Dfa:
-    """One minimal automaton for all (pattern, either case); anywhere: matches may start at any byte."""
+def build(patterns: list[tuple[str, bool]], anywhere: bool, backwards: bool = False) -> Dfa:
+    """One minimal automaton for all (pattern, either case); anywhere: matches may start at any byte; backwards: it reads
+    texts from their ends, so that it accepts where a match begins."""
     nfa = _Nfa()
     root, ends = nfa.state(), {}
     for k, (pattern, either) in enumerate(patterns):
         first = nfa.state()
         nfa.free[root].append(first)
-        ends[nfa.add(_Parser(pattern, either).parse(), first)] = k
+        tree = _Parser(pattern, either).parse()
+        ends[nfa.add(_reversed(tree) if backwards else tree, first)] = k
     # bytes that no set tells apart are one class
     sets = sorted({s for edges in nfa.on for s, _ in edges}, key=sorted)
     names: dict[tuple, int] = {}

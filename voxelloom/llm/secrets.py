@@ -2,11 +2,16 @@
 
 The heads of all rules are compiled into a single minimal automaton. It reads every byte
 of every text once: text is cut where two bytes send any state to the start, and the pieces
-of a slice advance side by side, one byte of each a step. Pieces in which a rule fired are
-then read by that rule's own anchored automata, leftmost and longest, which gives its spans.
+of a slice advance side by side, one byte of each a step. A text in which a rule fired is
+read once more from its end by the combined automaton of the reversed rules, which accepts
+where a match of a rule begins; from the first such place that is free, the rule's own
+automata read forward, longest, which gives the span. No place without a match is read by
+a rule, so that the work is linear in the text whatever it holds.
 
 Defined cases: null and empty texts have no spans; offsets count code points; spans of one
-kind don't overlap, those of different kinds may; repeated rows are scanned alike.
+kind don't overlap, those of different kinds may; repeated rows are scanned alike; a very
+long text is scanned whole, as a slice of its own; an empty table gives no rows; extra
+columns are ignored, and redact_secrets passes them on, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,6 +32,8 @@ from .textkit import slices
 
 SCAN_BYTES = 1 << 22
 PIECE = 64
+#: So few pieces aren't worth a step of all.
+FEW = 8
 
 
 @dataclass(frozen=True)
@@ -60,9 +67,12 @@ RULES = BASE + MORE
 
 
 @cache
-def compiled(rules: tuple[Rule, ...]) -> tuple[Dfa, list[tuple[list, list]]]:
-    """The combined automaton, and for each rule the tables of its head and its tail."""
+def compiled(rules: tuple[Rule, ...]) -> tuple[Dfa, tuple[list, list], list[tuple[list, list, list]]]:
+    """The combined automaton, the tables of the reversed one (next by byte, rules that begin), and for each rule the
+    tables of its head and its tail."""
     heads = build([(r.fires or r.head + r.tail, r.either_case) for r in rules], anywhere=True)
+    back = build([(r.head + r.tail, r.either_case) for r in rules], anywhere=True, backwards=True)
+    begins = back.next[:, back.classes].tolist(), back.kinds.tolist()
     own = []
     for r in rules:
         d = build([(r.head, r.either_case)], anywhere=False)
@@ -71,7 +81,7 @@ def compiled(rules: tuple[Rule, ...]) -> tuple[Dfa, list[tuple[list, list]]]:
         inside = build([(r.tail, r.either_case)], anywhere=False)
         member = (inside.kinds[inside.next[0, inside.classes]] != 0).tolist()
         own.append((table, (d.kinds != 0).tolist(), member))
-    return heads, own
+    return heads, begins, own
 
 
 def fired(dfa: Dfa, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -94,11 +104,18 @@ def fired(dfa: Dfa, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     top = np.zeros(len(start), np.int32)
     at = start.copy()
     live = np.searchsorted(-size, -np.arange(size[0]), side="left")  # pieces longer than each step
-    for k in live.tolist():
+    for k in live[live > FEW].tolist():
         s = flat[state[:k] + symbol[at[:k]]]
         state[:k] = s
         np.maximum(top[:k], s, out=top[:k])
         at[:k] += 1
+    for j in range(int(live[live <= FEW][0]) if live[-1] <= FEW else 0):  # what few long pieces still hold
+        step, s, most = dfa.rows, int(state[j]) // width, 0
+        for c in symbol[at[j] : start[j] + size[j]].tolist():
+            s = step[s][c]
+            if s > most:
+                most = s
+        top[j] = max(int(top[j]), most * width)
     first = int(np.flatnonzero(dfa.kinds)[0]) * width
     hot = np.sort(np.flatnonzero(top >= first))
     found = np.column_stack([start[hot], start[hot] + size[hot]])
@@ -120,27 +137,40 @@ def _match(text: bytes, at: int, table: list, accepts: list, member: list) -> tu
     return head, end if end > head else -1
 
 
+def _starts(text: bytes, begins: tuple[list, list], rules: int) -> list[list[int]]:
+    """Where the matches of each rule begin, in order; one pass from the end."""
+    step, kinds = begins
+    out: list[list[int]] = [[] for _ in range(rules)]
+    state, at = 0, len(text)
+    for byte in reversed(text):
+        state = step[state][byte]
+        at -= 1
+        if kinds[state]:
+            for k in range(rules):
+                if kinds[state] >> k & 1:
+                    out[k].append(at)
+    return [x[::-1] for x in out]
+
+
 def scan(data: np.ndarray, offsets: np.ndarray, rules: tuple[Rule, ...]) -> dict[int, list[tuple[int, int, int]]]:
     """(start, rule, end) spans in code points of each row that has any."""
-    dfa, own = compiled(rules)
+    dfa, begins, own = compiled(rules)
     out: dict[int, list] = {}
     pieces = fired(dfa, data, offsets)
     rows = np.searchsorted(offsets, pieces[:, 0], side="right") - 1
     for row in np.unique(rows).tolist():
         base, text = offsets[row], data[offsets[row] : offsets[row + 1]].tobytes()
-        spans, done = [], [0] * len(rules)
-        for a, b in (pieces[rows == row] - base).tolist():
-            for k, rule in enumerate(rules):
-                table, accepts, member = own[k]
-                at = max(a, done[k])
-                while at < b:
-                    head, end = _match(text, at, table, accepts, member)
-                    if end < 0:
-                        at += 1
-                        continue
+        spans = []
+        for k, (rule, starts) in enumerate(zip(rules, _starts(text, begins, len(rules)), strict=True)):
+            done = 0
+            for at in starts:
+                if at < done:
+                    continue
+                head, end = _match(text, at, *own[k])
+                if end >= 0:
+                    done = end
                     if end - head >= rule.least_tail and end - at >= rule.least:
                         spans.append((at, k, end))
-                    at = done[k] = end
         if spans:
             points = np.concatenate([[0], np.cumsum((data[base : offsets[row + 1]] & 0xC0) != 0x80)])
             out[row] = sorted((int(points[a]), k, int(points[e])) for a, k, e in spans)
