@@ -65,7 +65,7 @@ def test_tree_splits_exactly():
 
 
 def test_mixed_rows_hold_the_draws(spark):
-    rows = [r for r in mix_rows() if r[0] not in (7, 11)]
+    rows = mix_rows() + [(11, mix_rows()[11][1], None, mix_rows()[11][3])] * 3
     recipe = mixing.Recipe(shard_words=5000)
     table = docs(spark, rows)
     plan, out = mixing.mixture(table, recipe), mixing.mixed(table, recipe).collect()
@@ -152,3 +152,29 @@ def test_mixing_stage_cuts_no_text(spark):
     assert all(abs(taken[s] - want[s]) <= longest[s] / 2 + 1 for s in sizes)
     plan = mixing.mixture(docs(spark, rows), corpus_pipeline.WHOLE).collect()
     assert all(r.taken in (0, r["size"], 2 * r["size"]) for r in plan) and sum(r.taken for r in plan) == sum(taken.values())
+
+
+def test_repeated_rows_at_the_limit_are_drawn_alike(spark):
+    rows = [(5, "a b c d e", None, "s")] * 7 + [(6, prose(6, 40), None, "t")] * 2 + [(None, "x y z", None, "u")] * 30
+    for recipe in (mixing.Recipe(), mixing.Recipe(whole_documents=True), mixing.Recipe(block_bits=1)):
+        plan, out = mixing.mixture(docs(spark, rows), recipe).collect(), mixing.mixed(docs(spark, rows), recipe).collect()
+        assert len(plan) == len(rows) and len({r.taken for r in plan if r.doc_id == 5}) == 1
+        assert Counter((r.doc_id, d.shard, d.words) for r in plan for d in r.draws) == Counter((r.doc_id, r.mix_shard, r.mix_words) for r in out)
+
+
+def test_more_shards_than_leaves(spark):
+    rows = mix_rows()
+    few, many = (mixing.mixture(docs(spark, rows), mixing.Recipe(shard_words=500, most_leaves=n)).collect() for n in (4, 8192))
+    assert sorted((r.doc_id or 0, r.taken) for r in few) == sorted((r.doc_id or 0, r.taken) for r in many)
+    assert max(d.shard for r in few for d in r.draws) > 40
+
+
+def test_mixed_passes_columns_of_any_name(spark):
+    from pyspark.sql import functions as F
+
+    names = ["left", "whole", "draws", "end", "block_words", "_id", "_size", "_draw", "row", "size", "h", "block", "parts", "target", "_s", "extra"]
+    table = docs(spark, [(i, prose(i, 20), None, "s") for i in range(9)]).select("doc_id", "text", "source", *(F.lit(n).alias(n) for n in names))
+    out = mixing.mixed(table)
+    assert out.columns == [*table.columns, "mix_shard", "mix_place", "mix_words"] and out.filter("left = 'left' and `_id` = '_id' and size = 'size'").count() == out.count() > 9
+    again = mixing.mixed(out)
+    assert again.columns == out.columns and again.count() > 0
