@@ -9,9 +9,11 @@ case, the shapes of its words (letters, capitals, digits and marks with runs col
 how often a word repeats the one before it.
 
 Defined cases: null and empty texts have no features and score as the thresholds alone say;
-rows without a grade aren't learned from; of several grades of one doc_id the lowest holds;
-with fewer than two grades every text gets the one there is (0 if none); extra columns are
-ignored.
+rows without a grade aren't learned from; of several grades of one doc_id the lowest holds, and
+of several rows of one doc_id the least text is learned from, once; repeated rows are rated
+alike; a very long text is rated whole, and learned from only if the bound on bytes leaves
+room; texts tie where their features do; with fewer than two grades every text gets the one
+there is (0 if none); an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,14 +26,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .sampling import bounded, labelled
 from .textkit import AS_IS, LOWER, SPACE, U64, Words, mix, slices
 
 
 @dataclass(frozen=True)
 class Settings:
-    """train_rows: the most rated documents that training reads."""
+    """train_rows: the most rated documents that training reads. train_bytes: the most text."""
 
     train_rows: int = 8000
+    train_bytes: int = 32 << 20
     dims: int = 1 << 16
     epochs: int = 12
     batch: int = 64
@@ -138,9 +142,8 @@ def predict(data: np.ndarray, offsets: np.ndarray, model: Model, dims: int, cut:
 
 def fit(docs: DataFrame, ratings: DataFrame, learn: Column, s: Settings = Settings(), grade: str = "quality") -> Model:
     """Model from the rated documents that `learn`, a condition on doc_id, lets through; a bounded sample in hash order."""
-    known = ratings.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(grade).cast("int").alias("grade")).filter("doc_id is not null and grade is not null").filter(learn).groupBy("doc_id").agg(F.min("grade").alias("grade"))
-    known = known.join(docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    picked = F.broadcast(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(s.train_rows))  # the limit bounds what is broadcast
+    known = labelled(docs, ratings, grade, "min", learn)
+    sample = bounded(docs, known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(s.train_rows), s.train_bytes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in slices(batches, "text"):
@@ -148,7 +151,7 @@ def fit(docs: DataFrame, ratings: DataFrame, learn: Column, s: Settings = Settin
             first = pa.array(np.searchsorted(row, np.arange(rows.num_rows + 1)).astype(np.int32))
             yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(2), pa.ListArray.from_arrays(first, pa.array(place.astype(np.int32))), pa.ListArray.from_arrays(first, pa.array(value.astype(np.float32)))], names=["doc_id", "grade", "places", "values"])
 
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(picked, "doc_id").mapInArrow(run, "doc_id long, grade int, places array<int>, values array<float>").toArrow()
+    found = sample.select("doc_id", "text", F.col("y").alias("grade")).mapInArrow(run, "doc_id long, grade int, places array<int>, values array<float>").toArrow()
     found = found.append_column("o", pa.array(mix(found["doc_id"].to_numpy().astype(U64)))).sort_by([("o", "ascending"), ("doc_id", "ascending")]).combine_chunks()
     if not found.num_rows:
         return Model([0], np.zeros(s.dims, np.float32), np.zeros(0))

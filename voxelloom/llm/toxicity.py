@@ -8,7 +8,10 @@ supports, so that what is broadcast is a short list.
 
 Defined cases: null and empty texts have no features and get the score of the intercept;
 rows without a label, or with a null one, aren't learned from; of several labels of one
-doc_id the highest holds; without any usable label every score is 0; extra columns are ignored.
+doc_id the highest holds, and of several rows of one doc_id the least text is learned from, once;
+repeated rows score alike; a very long text is scored whole, and learned from only if the bound
+on bytes leaves room; without any usable label every score is 0; an empty table gives no rows;
+extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,15 +24,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .sampling import bounded, labelled
 from .textkit import LOWER, NOT_ALNUM, U64, Words, mix, slices
 
 
 @dataclass(frozen=True)
 class Settings:
-    """positives, negatives: the most labelled rows of each kind that training reads."""
+    """positives, negatives: the most labelled documents of each kind that training reads. train_bytes: the most text."""
 
     positives: int = 4000
     negatives: int = 8000
+    train_bytes: int = 48 << 20
     dims: int = 1 << 20
     skips: tuple[int, ...] = (1, 2, 3)
     alpha: float = 2.0
@@ -93,14 +98,12 @@ def train(rows: list[np.ndarray], labels: np.ndarray, importance: np.ndarray, s:
 
 
 def _sample(docs: DataFrame, labels: DataFrame, learn: Column, s: Settings) -> tuple[DataFrame, int, int]:
-    """Text and label of at most the set number of labelled rows of each kind, and how many there are of each."""
-    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter("doc_id is not null and toxic is not null").filter(learn).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    known = known.join(docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    counts = {r[0]: r[1] for r in known.groupBy("toxic").count().collect()}
+    """Text and label of at most the set number of labelled documents of each kind, and how many there are of each."""
+    known = labelled(docs, labels, "toxic", "max", learn)
+    counts = {r[0]: r[1] for r in known.groupBy("y").count().collect()}  # a row a label
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    picked = known.filter("toxic = 1").orderBy(*order).limit(s.positives).union(known.filter("toxic = 0").orderBy(*order).limit(s.negatives))
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return text.join(F.broadcast(picked), "doc_id"), counts.get(1, 0), counts.get(0, 0)  # the limits above bound what is broadcast
+    picked = known.filter("y = 1").orderBy(*order).limit(s.positives).union(known.filter("y = 0").orderBy(*order).limit(s.negatives))
+    return bounded(docs, picked, s.train_bytes), counts.get(1, 0), counts.get(0, 0)
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, s: Settings = Settings()) -> Weights:
@@ -115,7 +118,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, s: Settings = Setting
             places = pa.ListArray.from_arrays(pa.array(first), pa.array((both & 0xFFFFFFFF).astype(np.int32)))
             yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(2), places], names=["doc_id", "toxic", "places"])
 
-    found = sample.select("doc_id", "text", "toxic").mapInArrow(run, "doc_id long, toxic int, places array<int>").toArrow()
+    found = sample.select("doc_id", "text", F.col("y").alias("toxic")).mapInArrow(run, "doc_id long, toxic int, places array<int>").toArrow()
     ids = found["doc_id"].to_numpy()
     order = np.lexsort((ids, mix(ids.astype(U64))))
     rows = []
