@@ -9,15 +9,19 @@ unknown character counts as its bytes where the vocabulary has byte pieces, else
 neighbours count as one.
 
 Spaces become the mark U+2581, one is put in front, and chunks begin at each mark. Equal
-chunks are counted once a worker while its bounded memory of them lasts.
+short chunks are counted once a worker while its memory of them, bounded in bytes, lasts.
 
-Defined cases: null and empty texts have no tokens; repeated rows are counted alike.
+Defined cases: null and empty texts have no tokens; repeated rows are counted alike; a very
+long text is counted whole, one chunk at a time; ties go by the order above; an empty table
+gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +31,8 @@ from pyspark.sql import functions as F
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 REMEMBERED = 400_000
+#: Longer chunks are counted anew, so that what is remembered is at most REMEMBERED times this many characters.
+SHORT = 48
 
 
 @dataclass(frozen=True)
@@ -34,6 +40,11 @@ class Vocabulary:
     pieces: list[tuple[str, float]]
     bytes_known: bool
 
+    @cached_property
+    def key(self) -> str:
+        """Tells vocabularies apart by all their pieces."""
+        return hashlib.sha256(repr((self.pieces, self.bytes_known)).encode("utf-8", "surrogatepass")).hexdigest()
+
     @property
     def unknown(self) -> float:
         return min((s for _, s in self.pieces), default=0.0) - UNKNOWN_PENALTY
@@ -107,24 +118,31 @@ class Counter:
         if not chunks[0]:
             chunks = chunks[1:]  # a leading space is the mark itself
         memory = self.memory
-        for new in set(chunks).difference(memory):
-            memory[new] = self.chunk(MARK + new)
-        total = sum(map(memory.__getitem__, chunks))
-        if len(memory) > REMEMBERED:
-            memory.clear()
+        long = [x for x in chunks if len(x) > SHORT]
+        total = sum(self.chunk(MARK + x) for x in long)
+        if long:
+            chunks = [x for x in chunks if len(x) <= SHORT]
+        for at in range(0, len(chunks), REMEMBERED):
+            some = chunks[at : at + REMEMBERED]
+            new = set(some).difference(memory)
+            if len(memory) + len(new) > REMEMBERED:
+                memory.clear()
+                new = set(some)
+            for x in new:
+                memory[x] = self.chunk(MARK + x)
+            total += sum(map(memory.__getitem__, some))
         return total
 
 
-_counters: dict[int, Counter] = {}
+_counters: dict[str, Counter] = {}
 
 
 def count_tokens(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """doc_id and n_tokens of each document's whole text."""
-    held = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    held, key = docs.sparkSession.sparkContext.broadcast(vocabulary), vocabulary.key
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = held.value
-        key = hash((len(vocabulary.pieces), vocabulary.bytes_known, tuple(vocabulary.pieces[-64:]), tuple(vocabulary.pieces[:64])))
         if key not in _counters:
             _counters.clear()
             _counters[key] = Counter(vocabulary)
