@@ -54,7 +54,7 @@ def test_bit_shift_keeps_what_is_lit(spark):
 
 def test_pixel_helpers(spark):
     assert value(spark, pixel.enhance(F.lit(5.0), [(0, 0), (10, 100)])) == 50
-    assert value(spark, pixel.taper(F.lit(0), 10, 4)) == pytest.approx(0.2)
+    assert value(spark, pixel.taper(F.lit(0), 10, 4)) == 0 and value(spark, pixel.taper(F.lit(9), 10, 4)) == pytest.approx(0.25) and value(spark, pixel.taper(F.lit(1), 3, 8)) == 1
     assert value(spark, pixel.composite([F.lit(1), F.lit(2)])) == [1, 2, 0]
     assert value(spark, geometry.mirrored(F.lit(-2), 0, 9)) == 1 and value(spark, geometry.mirrored(F.lit(11), 0, 9)) == 8
     assert value(spark, geometry.transformation_needed([F.lit(0.999)], [F.lit(0.0)])) is True
@@ -184,7 +184,7 @@ def test_registration_of_volumes(spark):
 
 
 def test_ties_of_projection_and_merge(spark):
-    rows = [(0, 0, "V", 2, 5, 1, 0.5, 3, 9), (0, 0, "V", 1, 4, 1, 0.5, 3, 9), (0, 1, "V", 1, 4, 1, 0.0, 24, 9)]
+    rows = [(0, 0, "V", 2, 5, 1, 0.5, 3, 9), (0, 0, "V", 1, 4, 1, 0.5, 3, 9), (0, 1, "V", 1, 4, 1, 0.0, 9, 9)]
     e = spark.createDataFrame(rows, "r0 int, c0 int, dir string, layer int, displ int, default_displ int, peak double, width int, inv_width int")
     p = {(r.c0): r for r in align.threshold(align.project(e, ["r0", "c0", "dir"]), 0.3).collect()}
     assert p[0].layer == 1 and p[0].displ == 4 and (p[1].displ, p[1].reliability, p[1].width) == (1, 0.0, 9)
@@ -208,7 +208,7 @@ def test_tree_orders(spark):
     rows = [("a", 1, 1, -1), ("a", 2, 3, 1), ("a", 3, 3, 1), ("a", 4, 3, 2), ("a", 9, 3, 77), ("a", 2, 3, 1), ("b", 5, 1, 0), ("b", 6, 2, 5), ("c", 1, 1, 3), ("c", 2, 1, 1), ("d", 7, 1, 8), ("d", 8, 1, 7)]
     t = spark.createDataFrame([(f, i, k, 0.0, 0.0, float(i), 1.0, p) for f, i, k, p in rows], "file string, id int, type int, x double, y double, z double, radius double, parent_id int")
     got = {f: [(r.id, int(r.z), r.parent_id) for r in tracing.sort_tree(t).filter(F.col("file") == f).orderBy("id").collect()] for f in "abcd"}
-    assert got["a"] == [(1, 1, -1), (2, 3, 1), (3, 2, 1), (4, 4, 3)]
+    assert got["a"] == [(1, 1, -1), (2, 2, 1), (3, 4, 2), (4, 3, 1)]
     assert got["b"] == [(1, 5, -1), (2, 6, 1)] and got["c"] == [(1, 1, -1), (2, 2, 1)] and got["d"] == []
     two = t.filter("file = 'b'").withColumn("parent_id", F.lit(0))
     with pytest.raises(ValueError):
@@ -237,7 +237,9 @@ def test_mosaic_helpers(spark):
     px = spark.createDataFrame([(1, 0, 0, 0, 5), (2, 0, 0, 0, 7), (2, 0, 0, 1, 9)], "stack int, z int, y int, x int, v int")
     assert mosaic.diagnostic(px, [1, 2]).orderBy("x").collect() == [(0, 0, 0, 5, 7), (0, 0, 1, 0, 9)]
     assert mosaic.scanner_x(spark.createDataFrame([(0, 0, 5), (1, 0, 6), (2, 0, 7)], "x int, y int, x_off_x int"), 1.0).orderBy("x").select("x0").collect() == [(0.0,), (5.0,), (11.0,)]
-    assert value(spark, mosaic.margin_blend(F.lit(3), F.lit(4), F.lit(1.5707963267948966), F.lit(0.1))) == 0
+    blend = lambda name, angle: value(spark, mosaic.BLENDS[name](F.lit(3.0), F.lit(4.0), F.lit(angle), F.lit(0.5)))
+    assert [blend("margin", t) for t in (1.2, 1.7, 2.2)] == [3, 1, 4] and blend("margin", 1.5707963267948966) == 3
+    assert blend("enhanced", 0.0) == 4 and blend("sinusoidal", 0.0) == 3 and blend("none", 1.6) == 4
 
 
 def test_stream_of_planes_is_processed_once(spark, tmp_path):
@@ -264,3 +266,120 @@ def test_range_shrinks_to_stitchable_tiles(spark):
     got = align.stitchable_range(tiles, "r0", "c0")
     assert got.columns == tiles.columns and sorted((x.r0, x.c0) for x in got.collect()) == [(r, c) for r in (1, 2, 3) for c in (1, 2)]
     assert align.stitchable_range(tiles.withColumn("stitchable", F.lit(False)), "r0", "c0").count() == 0
+
+
+def test_a_tree_is_walked_along_its_first_children(spark):
+    parents = {1: -1, 2: 1, 3: 1, 4: 2, 5: 2, 6: 3, 7: 3}
+    t = spark.createDataFrame([("f", i, 3, 0.0, 0.0, float(i), 1.0, p) for i, p in parents.items()], "file string, id int, type int, x double, y double, z double, radius double, parent_id int")
+    got = tracing.sort_tree(t).orderBy("id").collect()
+    assert [int(r.z) for r in got] == [1, 2, 4, 5, 3, 6, 7] and [r.parent_id for r in got] == [-1, 1, 2, 2, 1, 5, 5]
+    long = spark.range(1, 20_001).select(F.lit("g").alias("file"), F.col("id").cast("int"), F.lit(3).alias("type"), F.col("id").cast("double").alias("z"), F.when(F.col("id") == 1, -1).otherwise(F.col("id") - 1).cast("int").alias("parent_id"))
+    assert tracing.sort_tree(long).filter("id = z and parent_id = if(id = 1, -1, id - 1)").count() == 20_000
+
+
+def test_estimates_are_combined_by_peak(spark):
+    est = lambda d, p, w: {"displ": F.lit(d), "peak": F.lit(p), "width": F.lit(w)}
+    both = value(spark, align.combine(est(10, 0.3, 5), est(12, 0.6, 20)))  # (3 + 7.2) / 0.9 = 11.33
+    assert (both.displ, both.width) == (11, 20) and both.peak == pytest.approx(0.5)
+    assert value(spark, align.combine(est(10, 0.2, 4), est(40, 0.4, 8))).displ == 40  # a tie goes to the second
+    assert value(spark, align.combine(est(10, 0.3, 4), est(40, 0.4, 8))).displ == 10
+
+
+def test_consensus_is_above_the_threshold_and_minus_one_is_zero(spark):
+    rows = [(1, 0.5, 9)] * 5 + [(1, 0.6, -1)] * 3 + [(2, 0.6, -2)] * 3
+    t = spark.createDataFrame(rows, "z int, score double, zoff int")
+    assert {r.z: r.zoff for r in align.consensus_z(t, 0.5, 5, 2).collect()} == {1: 0.0, 2: -2.0}
+
+
+def test_next_round_trims_and_truncates(spark):
+    rows = [("x", 0.8, v, 0, 0) for v in [0] * 50 + [3, -1, 400]] + [("y", 0.9, 1, 2, 0)] * 3 + [("z", 0.9, 0, 0, 7)] * 3 + [("z", 0.1, 90, 90, 90)]
+    got = align.next_round(spark.createDataFrame(rows, "axis string, score double, xoff int, yoff int, zoff int"), 0.75, decimate=4).first()
+    assert (got.x_slop, got.y_slop, got.z_slop) == (3 + 4, 4, 4) and (got.xoff_x, got.xoff_y, got.zoff_z) == (0, 1, 7)  # int(3 * 1.25) = 3
+
+
+def brute_cosine(px, boxes):
+    """Weights by whole arrays of the shared boxes."""
+
+    def distance(s, o):
+        lo, hi = [max(a, b) for a, b in zip(s[0], o[0], strict=True)], [min(a, b) for a, b in zip(s[1], o[1], strict=True)]
+        shape = [b - a for a, b in zip(lo, hi, strict=True)]
+        cut = {k: (o[1][k] > s[0][k] > o[0][k], o[0][k] < s[1][k] < o[1][k]) for k in (0, 1)}
+        most = min([np.inf, *(shape[k] for k in (0, 1) if o[0][k] != s[0][k] and o[1][k] != s[1][k])])
+        out = np.full(shape, most)
+        for k in (0, 1):
+            i = np.arange(shape[k]).reshape([-1 if j == k else 1 for j in (0, 1)])
+            if cut[k][0]:
+                out = np.minimum(out, i + 1)
+            if cut[k][1]:
+                out = np.minimum(out, shape[k] - i)
+        return lo, hi, out
+
+    weight = {(s, y, x): 1.0 for s, y, x, _ in px}
+    for s, a in boxes.items():
+        for o, b in boxes.items():
+            if s != o and all(a[0][k] < b[1][k] and b[0][k] < a[1][k] for k in (0, 1)):
+                lo, hi, d = distance(a, b)
+                other = distance(b, a)[2]
+                if np.isinf(d.min()):
+                    d = np.full(d.shape, other.max())
+                elif np.isinf(other.min()):
+                    other = np.full(d.shape, d.max())
+                w = np.sin(np.arctan2(d, other)) ** 2
+                for y in range(lo[0], hi[0]):
+                    for x in range(lo[1], hi[1]):
+                        weight[s, y, x] *= w[y - lo[0], x - lo[1]]
+    top, low = {}, {}
+    for s, y, x, v in px:
+        top[y, x] = top.get((y, x), 0) + v * weight[s, y, x]
+        low[y, x] = low.get((y, x), 0) + weight[s, y, x]
+    return {k: top[k] / low[k] for k in top}
+
+
+@pytest.mark.parametrize("most", [0, 500_000])
+def test_mosaic_of_partly_covered_contained_and_equal_stacks(spark, most):
+    boxes = {1: ((0, 0), (10, 12)), 2: ((3, 4), (7, 9)), 3: ((6, 8), (14, 20)), 4: ((0, 8), (10, 16)), 5: ((0, 0), (10, 12)), 6: ((0, 18), (14, 26)), 7: ((0, 30), (10, 40)), 8: ((0, 34), (10, 37))}
+    px = [(s, y, x, (s * 31 + y * 7 + x * 3) % 50 + 1) for s, ((y0, x0), (y1, x1)) in boxes.items() for y in range(y0, y1) for x in range(x0, x1)]
+    stacks = spark.createDataFrame([(s, x0, x1, y0, y1, 0, 1) for s, ((y0, x0), (y1, x1)) in boxes.items()], "stack int, x0 int, x1 int, y0 int, y1 int, z0 int, z1 int")
+    table = spark.createDataFrame([(s, 0, y, x, v) for s, y, x, v in px], "stack int, z int, y int, x int, v int")
+    got = {(r.y, r.x): r.v for r in mosaic.mosaic_cosine(table, stacks, 8, most).collect()}
+    want = brute_cosine(px, boxes)
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want)
+
+
+def test_a_replayed_epoch_keeps_its_output(spark, tmp_path):
+    out, man = str(tmp_path / "out"), str(tmp_path / "man")
+    kept = {}
+
+    class Stream:
+        writeStream = property(lambda self: self)
+
+        def foreachBatch(self, f):
+            kept["batch"] = f
+            return self
+
+        option = trigger = lambda self, *a, **k: self
+        start = lambda self: None
+
+    manifest.process_new(Stream(), lambda d: d, out, man, ["z"], "ck")
+    df = spark.createDataFrame([(k, k) for k in range(5)], "z int, v int")
+    for epoch, rows in ((0, df), (0, df), (1, df.union(df.selectExpr("z + 3", "v"))), (1, df.union(df.selectExpr("z + 3", "v")))):
+        kept["batch"](rows, epoch)
+        assert spark.read.parquet(out).filter(f"epoch = {epoch}").count() == (5 if epoch == 0 else 3)
+    manifest.process_new(Stream(), lambda d: d, out, man, ["z"], "another")
+    kept["batch"](df, 0)
+    assert sorted(r.z for r in spark.read.parquet(out).collect()) == list(range(8))
+
+
+def test_raw_planes_of_equal_widths_are_big_endian():
+    pixels = np.arange(65_792) % 65_536
+    plane = readers.decode_raw(np.array([65_792, 1], ">u4").tobytes() + pixels.astype(">u2").tobytes())  # its bytes are the same from both ends
+    assert plane.shape == (1, 65_792) and (plane[0] == pixels).all()
+
+
+def test_z_ranges_of_all_brackets(spark):
+    assert value(spark, names.kept_z(F.lit("(1,4);[7,9)"))) == [2, 3, 7, 8]
+
+
+def test_reliability_is_relative_to_the_invalid_width(spark):
+    assert value(spark, pixel.reliability(F.lit(0.6), F.lit(15), F.lit(30))) == pytest.approx((0.5 * 0.25 + 0.5 * 0.36) ** 0.5)
+    assert value(spark, pixel.reliability(F.lit(0.0), F.lit(99), F.lit(99))) == 0

@@ -30,13 +30,13 @@ def plane_name(prefix: str, z: Column, n: int | None = None, suffix: str = ".tif
 
 
 def kept_z(ranges: Column) -> Column:
-    """Indices inside `[a,b);[c,d)`. If the text as a whole ends with a bracket `]`, every range includes its end."""
-    closed = F.when(F.rtrim(ranges).endswith("]"), 1).otherwise(0)
+    """Indices inside `[a,b);[c,d)`. `(a,` begins after a. Unless the text as a whole ends with `)`, every range includes its end."""
+    closed = F.when(F.rtrim(ranges).endswith(")"), 0).otherwise(1)
 
     def expand(piece: Column) -> Column:
         a = F.regexp_extract(piece, r"(-?\d+)\s*,", 1)
         b = F.regexp_extract(piece, r",\s*(-?\d+)", 1)
-        start, stop = F.when(a != "", a.cast("int")), F.when(b != "", b.cast("int")) - 1 + closed
+        start, stop = F.when(a != "", a.cast("int")) + F.when(F.trim(piece).startswith("["), 0).otherwise(1), F.when(b != "", b.cast("int")) - 1 + closed
         return F.when(stop >= start, F.sequence(start, stop)).otherwise(F.array().cast("array<int>"))
 
     return F.flatten(F.transform(F.filter(F.split(ranges, ";"), lambda p: F.trim(p) != ""), expand))

@@ -81,9 +81,9 @@ def enhance(v: Column, points: list[tuple[float, float]]) -> Column:
     return out.otherwise(F.lit(float(points[-1][1])))
 
 
-def reliability(peak: Column, width: Column, limit: int = 24) -> Column:
-    """Of a displacement: half from the narrowness of its peak, half from its height."""
-    narrow = (100 - width * 100.0 / limit) / 100
+def reliability(peak: Column, width: Column, invalid: Column | int = 30) -> Column:
+    """Of a displacement: half from the narrowness of its peak, as a share of the edge's invalid width, half from its height."""
+    narrow = (100 - width * 100.0 / invalid) / 100
     return F.sqrt(0.5 * narrow * narrow + 0.5 * peak * peak)
 
 
@@ -96,8 +96,10 @@ def sphere_radius(volume: Column) -> Column:
 
 
 def taper(c: Column, n: int, width: int) -> Column:
-    """1 inside, a linear ramp over `width` places at both ends of an axis of n places (from 0)."""
-    return F.least(F.lit(1.0), (c + 1) / (width + 1.0), (n - c) / (width + 1.0)) if width else F.lit(1.0)
+    """1 inside, a linear ramp at both ends of an axis of n places: 0 at the first, 1 `width` places on, and down to 1 / width
+    at the last. A width of over half the axis counts as half."""
+    width = min(width, n // 2)
+    return F.least(F.lit(1.0), c / float(width), (n - c) / float(width)) if width > 0 else F.lit(1.0)
 
 
 def blend(mask: Column, inner: Column, blurred: Column) -> Column:

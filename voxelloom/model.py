@@ -33,5 +33,5 @@ SWC = T.StructType(_NODE)
 ESWC = T.StructType([*_NODE, *(T.StructField(c, T.IntegerType()) for c in ("seg_id", "level", "mode", "timestamp", "TFresindex"))])
 #: The columns of a point file, in its order (z before x and y).
 APO_COLUMNS = ["##n", "orderinfo", "name", "comment", "z", "x", "y", "pixmax", "intensity", "sdev", "volsize", "mass", "blank1", "blank2", "blank3", "color_r", "color_g", "color_b"]
-#: Voxel sizes in micrometres and tile widths of the objectives.
-OBJECTIVES = {"4x": (2.0, 1600), "8x": (1.0, 2000), "9x": (0.8, 2000), "10x": (0.6, 2000), "15x": (0.422, 2000), "40x": (0.14, 2048)}
+#: Voxel sizes in micrometres, tile heights and tile widths of the objectives.
+OBJECTIVES = {"4x": (1.809, 1600, 2000), "8x": (0.82, 2000, 2000), "9x": (0.72, 2000, 2000), "10x": (0.62, 2000, 2000), "15x": (0.41, 2000, 2000), "40x": (0.14, 2048, 2048)}

@@ -70,16 +70,16 @@ def peak_width(scores: DataFrame, key: str, axis: str, fraction: float = 0.8) ->
 def combine(a: dict[str, Column], b: dict[str, Column], least_peak: float = 0.10) -> Column:
     """Two estimates (displ, peak, width) of one displacement as one struct.
 
-    Both valid and close: their mean weighted by width, peaks by their squares; both valid and apart: the better ratio of
-    peak to width; one valid: that one; none: displacement 0, peak 0 and no width. A width of 1 counts as infinite.
+    Both valid and close: their mean weighted by peak, and so the peak; both valid and apart: the better ratio of peak to
+    width, the second of ties; one valid: that one; none: displacement 0, peak 0 and no width. A width of 1 counts as infinite.
     """
     fix = lambda w: F.when(w == 1, INFINITE_WIDTH).otherwise(w)
     wa, wb = fix(a["width"]), fix(b["width"])
     ok = lambda e, w: (e["peak"] >= least_peak) & (w < INFINITE_WIDTH)
     est = lambda d, p, w: F.struct(d.cast("int").alias("displ"), p.cast("double").alias("peak"), w.cast("int").alias("width"))
     near = F.abs(a["displ"] - b["displ"]) < F.least(wa, wb)
-    mean = F.floor((a["displ"] * a["peak"] / wa + b["displ"] * b["peak"] / wb) / (a["peak"] / wa + b["peak"] / wb) + 0.5)
-    both = F.when(near, est(mean, (a["peak"] * a["peak"] + b["peak"] * b["peak"]) / (a["peak"] + b["peak"]), F.greatest(wa, wb))).when(a["peak"] / wa >= b["peak"] / wb, est(a["displ"], a["peak"], wa)).otherwise(est(b["displ"], b["peak"], wb))
+    mean = F.floor((a["displ"] * a["peak"] + b["displ"] * b["peak"]) / (a["peak"] + b["peak"]) + 0.5)
+    both = F.when(near, est(mean, (a["peak"] * a["peak"] + b["peak"] * b["peak"]) / (a["peak"] + b["peak"]), F.greatest(wa, wb))).when(a["peak"] / wa > b["peak"] / wb, est(a["displ"], a["peak"], wa)).otherwise(est(b["displ"], b["peak"], wb))
     return F.when(ok(a, wa) & ok(b, wb), both).when(ok(a, wa), est(a["displ"], a["peak"], wa)).when(ok(b, wb), est(b["displ"], b["peak"], wb)).otherwise(est(F.lit(0), F.lit(0.0), F.lit(INFINITE_WIDTH)))
 
 
@@ -95,7 +95,7 @@ def sub_volumes(slices: int, step: int) -> list[tuple[int, int]]:
 
 def project(edges: DataFrame, keys: list[str]) -> DataFrame:
     """The most reliable displacement of each edge and direction; the earliest layer of ties."""
-    rel = reliability(F.col("peak").cast("double"), F.col("width"))
+    rel = reliability(F.col("peak").cast("double"), F.col("width"), F.col("inv_width"))
     cells = [c for c in edges.columns if c not in keys]
     best = edges.withColumn("_r", rel).groupBy(*keys).agg(F.max_by(F.struct(*cells, "_r"), F.struct(F.col("_r"), -F.col("layer"))).alias("b"))
     return best.select(*keys, *(F.col(f"b.{c}") for c in cells), F.col("b._r").alias("reliability"))
@@ -127,8 +127,9 @@ def best_alignment(records: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def consensus_z(records: DataFrame, least: float, support: int, columns: int) -> DataFrame:
-    """Median z offset of each height, 0 without enough support; every record counts once for each of the columns."""
-    good = records.filter(F.col("score") >= least)
+    """Median z offset of each height over scores above `least`, 0 without enough support; an offset of -1 counts as 0, and
+    every record once for each of the columns."""
+    good = records.filter(F.col("score") > least).withColumn("zoff", F.when(F.col("zoff") == -1, 0).otherwise(F.col("zoff")))
     return good.groupBy("z").agg((F.count(F.lit(1)) * columns).alias("n"), F.percentile("zoff", F.lit(0.5)).alias("m")).select("z", F.when(F.col("n") > support, F.col("m")).otherwise(0.0).alias("zoff"))
 
 
@@ -137,9 +138,24 @@ def row_delta(records: DataFrame, support: int) -> DataFrame:
     return records.groupBy("yidx").agg(F.count(F.lit(1)).alias("n"), F.percentile("zoff", F.lit(0.5)).alias("m")).select("yidx", F.when(F.col("n") >= support, F.col("m")).otherwise(0.0).alias("zoff"))
 
 
-def next_slop(records: DataFrame, axis: str, decimate: int) -> Column:
-    """How far the next round must look: 1.25 times the greatest deviation from the median, and the decimation."""
-    return (F.greatest(F.max(axis) - F.percentile(axis, F.lit(0.5)), F.percentile(axis, F.lit(0.5)) - F.min(axis)) * 1.25 + decimate).alias(axis)
+def next_round(records: DataFrame, least: float, stds: float = 3.0, factor: float = 1.25, decimate: int = 1) -> DataFrame:
+    """One row: how far the next round must look in x, y and z (x_slop ..), and the drift it starts from (xoff_x: of x, from
+    alignments along x).
+
+    records: axis (x, y or z: along which the two tiles are neighbours), score, xoff, yoff, zoff. Offsets of a score of at
+    least `least` count, less those beyond `stds` deviations from their median; a slop is the greatest deviation from the
+    median of what is left, of the three axes, times `factor`, cut to a whole number, and the decimation.
+    """
+    names = ("xoff", "yoff", "zoff")
+    long = records.filter(F.col("score") >= least).select("axis", F.explode(F.array(*(F.struct(F.lit(n).alias("off"), F.col(n).cast("double").alias("v")) for n in names))).alias("o")).select("axis", "o.off", "o.v")
+    keys = ["axis", "off"]
+    ends = long.groupBy(*keys).agg(F.percentile("v", F.lit(0.5)).alias("m"), (F.stddev_pop("v") * stds).alias("s"))  # nine rows at most
+    kept = long.join(F.broadcast(ends), keys).filter((F.col("v") >= F.col("m") - F.col("s")) & (F.col("v") <= F.col("m") + F.col("s")))
+    each = kept.groupBy(*keys).agg(F.percentile("v", F.lit(0.5)).alias("m"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    reach = F.greatest(F.col("hi") - F.col("m"), F.col("m") - F.col("lo"))
+    slops = [((F.max(F.when(F.col("off") == n, reach)) * factor).cast("int") + decimate).alias(f"{n[0]}_slop") for n in names]
+    drift = [F.max(F.when((F.col("off") == n) & (F.col("axis") == a), F.col("m"))).cast("int").alias(f"{n}_{a}") for a in "xyz" for n in names]
+    return each.agg(*slops, *drift)
 
 
 def cheapest_path(edges: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from ..functions.pixel import rescale
 from .kernels import convolve, destripe_band, gaussian
 from .spatial import halo
 
-EPS = 1e-7
+EPS = float(np.finfo(np.float32).eps)
 
 
 def fast_length(n: int) -> int:
@@ -57,8 +57,8 @@ def light_psf(z: np.ndarray, r: np.ndarray, na: float, wavelength: float, index:
     """Intensity at axial distance z and radius r by the scalar diffraction integral over the pupil."""
     p = (np.arange(200) + 0.5) / 200
     k = 2 * np.pi / wavelength
-    phase = np.exp(-0.5j * k * np.multiply.outer(z, p**2) * na**2 / index)
-    field = (bessel_j0(k * na * np.multiply.outer(r, p)) * phase * p).mean(axis=-1)
+    phase = np.exp(-0.5j * k * np.multiply.outer(z, p**2) * na**2 / index**2)
+    field = (bessel_j0(k * na * np.multiply.outer(r, p) / index) * phase * p).mean(axis=-1)
     return np.abs(2 * field) ** 2
 
 
@@ -77,15 +77,15 @@ def make_psf(shape: tuple[int, int, int], voxel: tuple[float, float, float], na:
 def taper_mask(shape: tuple[int, ...], widths: tuple[int, ...]) -> np.ndarray:
     out = np.ones(shape)
     for axis, (n, w) in enumerate(zip(shape, widths, strict=True)):
-        i = np.arange(n)
-        ramp = np.minimum(1.0, np.minimum(i + 1, n - i) / (w + 1)) if w else np.ones(n)
+        i, w = np.arange(n), min(w, n // 2)
+        ramp = np.minimum(1.0, np.minimum(i, n - i) / w) if w > 0 else np.ones(n)
         out = out * ramp.reshape([-1 if a == axis else 1 for a in range(len(shape))])
     return out
 
 
 def edge_taper(x: np.ndarray, psf: np.ndarray) -> np.ndarray:
-    """Edges fade into a blurred copy over the kernel's half size."""
-    m = taper_mask(x.shape, tuple(n // 2 for n in psf.shape))
+    """Edges fade into a blurred copy over the kernel's half size, eight places at least."""
+    m = taper_mask(x.shape, tuple(max(8, (n + 1) // 2) for n in psf.shape))
     return m * x + (1 - m) * convolve(x, psf / psf.sum())
 
 
@@ -98,8 +98,9 @@ def otf(psf: np.ndarray, shape: tuple[int, ...]) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Plan:
-    """smooth_every: rounds between smoothings. damping: share of a 26-neighbour mean. stop: percentage of change that ends it.
-    classical: divide the fixed data, not the current estimate."""
+    """smooth_every: rounds between smoothings, neither in the first nor the last. damping: share that the estimate's 26-neighbour
+    mean gets in those rounds. stop: percentage of change that ends it, from the second round. classical: divide the fixed
+    data, not the current estimate."""
 
     rounds: int = 6
     smooth_every: int = 0
@@ -112,28 +113,37 @@ class Plan:
 def _box(x: np.ndarray) -> np.ndarray:
     k = np.ones((3, 3, 3)) / 26
     k[1, 1, 1] = 0
-    return convolve(x, k)
+    return convolve_same(x, k)
+
+
+def convolve_same(x: np.ndarray, kernel: np.ndarray) -> np.ndarray:
+    """Convolution of the same size with zeros beyond the edges."""
+    wide = [a + b - 1 for a, b in zip(x.shape, kernel.shape, strict=True)]
+    out = np.fft.irfftn(np.fft.rfftn(x, wide, range(x.ndim)) * np.fft.rfftn(kernel, wide, range(x.ndim)), wide, range(x.ndim))
+    return out[tuple(slice(k // 2, k // 2 + n) for k, n in zip(kernel.shape, x.shape, strict=True))]
 
 
 def deconvolve(block: np.ndarray, psf: np.ndarray, plan: Plan = Plan(), fourier: bool = True) -> np.ndarray:
-    """Multiplicative updates x <- |x . (psf* (x / psf x))|: the numerator is the current estimate unless `classical`.
-    In the frequency domain the block is periodic, in space its edges are repeated."""
-    x, data = block.astype(float), block.astype(float)
+    """Multiplicative updates x <- |x . (psf* (x / psf x))| of the block with tapered edges: the numerator is the current
+    estimate unless `classical`. In the frequency domain the block is periodic, in space there are zeros beyond it."""
+    data = x = edge_taper(block.astype(float), psf)
     inverse = psf[::-1, ::-1, ::-1]
     norm = np.linalg.norm(x)
     for k in range(1, plan.rounds + 1):
-        if plan.smooth_every and k % plan.smooth_every == 0 and k < plan.rounds:
+        smoothing = 0 < plan.smooth_every < plan.rounds and 1 < k < plan.rounds and k % plan.smooth_every == 0
+        if smoothing:
             x = gaussian(x, 0.5)
         if fourier:
             h = otf(psf, x.shape)
             apply = lambda v: np.fft.irfftn(np.fft.rfftn(v) * h, v.shape, range(3))  # noqa: B023, E731
             back = lambda v: np.fft.irfftn(np.fft.rfftn(v) * np.conj(h), v.shape, range(3))  # noqa: B023, E731
         else:
-            apply, back = lambda v: convolve(v, psf), lambda v: convolve(v, inverse)  # noqa: B023, E731
+            apply, back = lambda v: convolve_same(v, psf), lambda v: convolve_same(v, inverse)  # noqa: B023, E731
         numerator = data if plan.classical else x
-        new = np.abs(x * back(numerator / np.maximum(apply(x), EPS)))
-        if plan.damping and k < plan.rounds:
-            new = (1 - plan.damping) * new + plan.damping * _box(new)
+        new = x * back(numerator / np.maximum(apply(x), EPS))
+        if smoothing and plan.damping > 0:
+            new = (1 - plan.damping) * new + plan.damping * _box(x)
+        new = np.abs(new)
         if plan.update_psf:
             fx, fy = np.fft.rfftn(new), np.fft.rfftn(data)
             wide = np.fft.irfftn(fy * np.conj(fx) / np.maximum(np.abs(fx) ** 2, EPS), new.shape, range(3))
@@ -143,7 +153,7 @@ def deconvolve(block: np.ndarray, psf: np.ndarray, plan: Plan = Plan(), fourier:
             inverse = psf[::-1, ::-1, ::-1]
         x = new
         now = np.linalg.norm(x)
-        if plan.stop and norm > 0 and abs(now - norm) / norm * 100 <= plan.stop:
+        if plan.stop and k > 1 and norm > 0 and abs(now - norm) / norm * 100 <= plan.stop:
             break
         norm = now
     return x

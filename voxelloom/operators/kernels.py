@@ -127,8 +127,19 @@ def destripe_dual(x: np.ndarray, sigmas: tuple[float, float], **kw) -> np.ndarra
     return destripe_band(destripe_band(x, sigmas[0], **kw), sigmas[1], **kw)
 
 
-def pad_size(sigma: float, rise: float = 0.5) -> int:
-    """Even padding that reaches the notch's given height."""
+#: Fixed value: places of a padded plane that memory must hold at most.
+PADDED_PLACES = 5e14
+
+
+def pad_size(sigma: float, rise: float = 0.5, shape: tuple[int, int] | None = None) -> int:
+    """Even padding that reaches the notch's given height, lowered to two digits where a plane of that shape would not fit
+    with it; 0 for sigma 0."""
+    if sigma == 0:
+        return 0
+    if shape:
+        y, x = shape[0] + 1, shape[1] + 1
+        fits = (x + y - np.sqrt((x - y) ** 2 + 4 * PADDED_PLACES)) / 2  # minus the widest padding, doubled
+        rise = min(round(1 - float(np.exp(fits / (2 * sigma**2))), 2) - 0.01, rise)
     return int(np.sqrt(-2 * sigma**2 * np.log(1 - rise)) + 0.5) // 2 * 2
 
 
@@ -155,12 +166,10 @@ def lowpass(x: np.ndarray, cutoff: float) -> np.ndarray:
 
 
 def correct_bleach(x: np.ndarray, cutoff: float, low: float, middle: float, high: float, by_maximum: bool = False) -> np.ndarray:
-    """Even out slow changes of brightness; x is on the log scale. Zeros count as the middle value."""
-    y = np.clip(np.where(x == 0, middle, x), max(low, np.log1p(1)), high)
-    if by_maximum:
-        soft = np.outer(lowpass(y.max(axis=1), cutoff), lowpass(y.max(axis=0), cutoff)) / max(y.max(), 1e-12)
-    else:
-        soft = lowpass(lowpass(y, cutoff).T, cutoff).T
+    """Even out slow changes of brightness along the last axis, or by the outer product of both axes' maxima; x is on the log
+    scale. Zeros count as the middle value."""
+    tame = lambda v: lowpass(np.clip(np.where(v == 0, middle, v), max(low, np.log1p(1)), high), cutoff)
+    soft = np.outer(tame(x.max(axis=1)), tame(x.max(axis=0))) if by_maximum else tame(x)
     return x / soft * soft.max()
 
 
@@ -171,7 +180,7 @@ def remove_streaks(image: np.ndarray, sigmas: tuple[float, float], wavelet: str
     x = np.log1p(image.astype(float))
     if sigmas != (0, 0):
         h, w = x.shape
-        pad = max(34, pad_size(max(sigmas)))
+        pad = max(34, pad_size(max(sigmas), shape=x.shape))
         wide = np.pad(x, ((pad, pad + h % 2), (pad, pad + w % 2)), mode="reflect" if min(h, w) > pad + 1 else "edge")
         x = destripe_dual(wide, sigmas, wavelet=wavelet, level=level, axes=axes)[pad : pad + h, pad : pad + w]
     if bleach is not None:

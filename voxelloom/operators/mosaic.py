@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..plans.scratch import written
 from .spatial import overlap_join
 
 
@@ -62,42 +63,70 @@ def mosaic_max(px: DataFrame) -> DataFrame:
 
 
 def edge_rules(stacks: DataFrame, size: int) -> DataFrame:
-    """(stack, other box, edges): which faces of a stack lie inside another one; z faces count only where the xy extents agree.
+    """Pairs (s_: a stack, o_: another that meets it) with the box they share (x0 .. z1), which faces of either lie inside the
+    other (s_xmin ..), and the most that a distance to those may be, `far`.
 
+    `far` is the least extent of the shared box along x and y, of those where neither face agrees; if both have one that
+    does, the extent along z, and only then z faces count; infinite if one agrees there as well.
     stacks: stack, x0, x1, y0, y1, z0, z1.
     """
-    side = lambda p: stacks.select(F.col("stack").alias(f"{p}stack"), *(F.col(f"{c}{k}").alias(f"{p}{c}{k}") for c in "xyz" for k in (0, 1)))
+    c = F.col
+    side = lambda p: stacks.select(c("stack").alias(f"{p}stack"), *(c(f"{a}{k}").alias(f"{p}{a}{k}") for a in "xyz" for k in (0, 1)))
     pairs = overlap_join(side("s_"), side("o_"), "s_", "o_", size).filter("s_stack <> o_stack")
+    shared = pairs.select("*", *(f(f"s_{a}{k}", f"o_{a}{k}").alias(f"{a}{k}") for a in "xyz" for k, f in ((0, F.greatest), (1, F.least))))
+    apart = lambda a: (c(f"s_{a}0") != c(f"o_{a}0")) & (c(f"s_{a}1") != c(f"o_{a}1"))
+    extent = lambda a: F.when(apart(a), (c(f"{a}1") - c(f"{a}0")).cast("double"))
+    flat = ~(apart("x") | apart("y"))
+    far = F.coalesce(F.when(flat, extent("z")).otherwise(F.least(extent("x"), extent("y"))), F.lit(float("inf")))
     flags = []
-    same = F.lit(True)
-    for c in "xy":
-        same = same & (F.col(f"s_{c}0") == F.col(f"o_{c}0")) & (F.col(f"s_{c}1") == F.col(f"o_{c}1"))
-    for c in "xyz":
-        low = (F.col(f"o_{c}1") > F.col(f"s_{c}0")) & (F.col(f"s_{c}0") > F.col(f"o_{c}0"))
-        high = (F.col(f"o_{c}0") < F.col(f"s_{c}1")) & (F.col(f"s_{c}1") < F.col(f"o_{c}1"))
-        ok = same if c == "z" else F.lit(True)
-        flags += [(low & ok).alias(f"{c}min"), (high & ok).alias(f"{c}max")]
-    return pairs.select("*", *flags)
-
-
-def mosaic_cosine(px: DataFrame, stacks: DataFrame, size: int) -> DataFrame:
+    for p, q in (("s_", "o_"), ("o_", "s_")):
+        for a in "xyz":
+            counts = flat & apart("z") if a == "z" else F.lit(True)
+            flags += [(counts & (c(f"{q}{a}1") > c(f"{p}{a}0")) & (c(f"{p}{a}0") > c(f"{q}{a}0"))).alias(f"{p}{a}min"), (counts & (c(f"{q}{a}0") < c(f"{p}{a}1")) & (c(f"{p}{a}1") < c(f"{q}{a}1"))).alias(f"{p}{a}max")]
+    return shared.select("*", far.alias("far"), *flags)
+
+
+def _greatest_distance(p: str) -> Column:
+    """The greatest distance inside the shared box: distances along the axes are independent, so that it is the least of theirs."""
+    c, far = F.col, F.lit(float("inf"))
+    out = [c("far")]
+    for a in "xyz":
+        lo, hi = c(f"{a}0"), c(f"{a}1")
+        n = (hi - lo).cast("double")
+        out.append(F.when(c(f"{p}{a}min") & c(f"{p}{a}max"), F.floor((n + 1) / 2).cast("double")).when(c(f"{p}{a}min") | c(f"{p}{a}max"), n).otherwise(far))
+    return F.least(*out)
+
+
+def mosaic_cosine(px: DataFrame, stacks: DataFrame, size: int, most_broadcast: int = 500_000) -> DataFrame:
     """Weighted mean of overlapping stacks: against each overlapped neighbour a pixel weighs d^2 / (d^2 + o^2), with d and o
-    its distances (from 1) to the nearest cut edge of its own stack and of the neighbour; weights multiply. In doubles."""
-    pairs = edge_rules(stacks, size)
+    its distances (from 1) to the nearest cut edge of its own stack and of the neighbour; weights multiply. In doubles.
+
+    Where one of the two has no cut edge, its distance is the greatest of the other's; where neither has, both weigh a half.
+    A stack's neighbours travel as one array: broadcast up to `most_broadcast` stacks, by a shuffle beyond, so that the
+    pixels move once, to their place.
+    """
     c = F.col
-    inside = c("s_stack") == c("stack")
-    for a in "xyz":
-        inside = inside & (c(a) >= c(f"o_{a}0")) & (c(a) < c(f"o_{a}1"))
-    held = px.join(pairs, inside)  # only pixels that a neighbour covers
+    pairs = edge_rules(stacks, size).select("*", _greatest_distance("s_").alias("s_most"), _greatest_distance("o_").alias("o_most"))
+    rule = F.struct(*(f"{a}{k}" for a in "xyz" for k in (0, 1)), "far", "s_most", "o_most", *(f"{p}{a}{e}" for p in ("s_", "o_") for a in "xyz" for e in ("min", "max")))
+    near = written(pairs.groupBy(c("s_stack").alias("stack")).agg(F.collect_list(rule).alias("_near")), "near")  # a stack has few neighbours
+    near = F.broadcast(near) if near.count() <= most_broadcast else near.hint("merge")
     far = F.lit(float("inf"))
-    own = F.least(*(F.when(c(f"{a}min"), (c(a) - c(f"s_{a}0") + 1).cast("double")).otherwise(far) for a in "xyz"), *(F.when(c(f"{a}max"), (c(f"s_{a}1") - c(a)).cast("double")).otherwise(far) for a in "xyz"))
-    # the neighbour's cut edges are the opposite ones
-    other = F.least(*(F.when(c(f"{a}max"), (c(a) - c(f"o_{a}0") + 1).cast("double")).otherwise(far) for a in "xyz"), *(F.when(c(f"{a}min"), (c(f"o_{a}1") - c(a)).cast("double")).otherwise(far) for a in "xyz"))
-    d, o = F.when(own == far, other).otherwise(own), F.when(other == far, own).otherwise(other)
-    weight = F.when(d == far, 1.0).otherwise(d * d / (d * d + o * o))
-    cells = ["stack", "z", "y", "x", "v"]
-    both = px.select(*cells, F.lit(1.0).alias("_w")).unionByName(held.select(*cells, weight.alias("_w")))
-    each = both.groupBy("stack", "z", "y", "x").agg(F.first("v").alias("v"), F.product("_w").alias("w"))
+
+    def distance(r: Column, p: str) -> Column:
+        ends = [(F.when(r[f"{p}{a}min"], c(a) - r[f"{a}0"] + 1).cast("double"), F.when(r[f"{p}{a}max"], r[f"{a}1"] - c(a)).cast("double")) for a in "xyz"]
+        return F.least(r["far"], *(F.coalesce(x, far) for e in ends for x in e))
+
+    def weight(r: Column) -> Column:
+        inside = F.lit(True)
+        for a in "xyz":
+            inside = inside & (c(a) >= r[f"{a}0"]) & (c(a) < r[f"{a}1"])
+        d = F.when(r["s_most"] == far, r["o_most"]).otherwise(distance(r, "s_"))
+        o = F.when(r["s_most"] == far, distance(r, "o_")).when(r["o_most"] == far, r["s_most"]).otherwise(distance(r, "o_"))
+        both = (r["s_most"] == far) & (r["o_most"] == far)
+        return F.when(~inside, 1.0).when(both, 0.5).otherwise(d * d / (d * d + o * o))
+
+    w = F.coalesce(F.aggregate("_near", F.lit(1.0), lambda acc, r: acc * weight(r)), F.lit(1.0))
+    each = px.select("stack", "z", "y", "x", "v").join(near, "stack", "left").select("z", "y", "x", "v", w.alias("w"))
     return each.groupBy("z", "y", "x").agg((F.sum(c("v") * c("w")) / F.sum("w")).alias("v"))
 
 
@@ -112,11 +141,19 @@ def no_blend(left: Column, right: Column, angle: Column) -> Column:
 
 
 def margin_blend(left: Column, right: Column, angle: Column, step: Column) -> Column:
-    """As no_blend, with a blank line where the sides meet."""
-    return F.when(F.abs(angle - F.lit(1.5707963267948966)) <= step / 2, 0).otherwise(no_blend(left, right, angle))
+    """As no_blend, with a line of ones at the first place past the middle, unless a place lies on the middle itself."""
+    middle = F.lit(1.5707963267948966)
+    return F.when((angle > middle) & (angle - step < middle), 1).otherwise(no_blend(left, right, angle))
+
+
+def enhanced_blend(left: Column, right: Column, angle: Column) -> Column:
+    """The cross-fade of `sinusoidal` with its sides exchanged, and blank places counted."""
+    w = (F.cos(angle) + 1) / 2
+    return w * right + (1 - w) * left
 
 
-BLENDS = {"sinusoidal": sinusoidal, "none": no_blend}
+#: By name: functions of left, right, angle and the angle between two places.
+BLENDS = {"sinusoidal": lambda a, b, t, _: sinusoidal(a, b, t), "none": lambda a, b, t, _: no_blend(a, b, t), "margin": margin_blend, "enhanced": lambda a, b, t, _: enhanced_blend(a, b, t)}
 
 
 def stripe(px: DataFrame, tiles: DataFrame, blend: str = "sinusoidal") -> DataFrame:
@@ -130,9 +167,9 @@ def stripe(px: DataFrame, tiles: DataFrame, blend: str = "sinusoidal") -> DataFr
     right = F.coalesce(F.col("x") < F.col("_last"), F.lit(False))
     lo, hi = F.when(right, F.col("x0")).otherwise(F.col("_next")), F.when(right, F.col("_last")).otherwise(F.col("x1"))
     step = F.when(hi - lo > 1, F.lit(3.141592653589793) / (hi - lo - 1)).otherwise(F.lit(0.0))
-    p = p.withColumn("_angle", F.when(right | F.coalesce(F.col("x") >= F.col("_next"), F.lit(False)), (F.col("x") - lo) * step)).withColumn("_right", right)
-    both = p.groupBy("row", "y", "x").agg(F.max(F.when(~F.col("_right"), F.col("v"))).alias("l"), F.max(F.when(F.col("_right"), F.col("v"))).alias("r"), F.max("_angle").alias("a"))
-    return both.select("row", "y", "x", F.when(F.col("l").isNull(), F.col("r")).when(F.col("r").isNull(), F.col("l")).otherwise(BLENDS[blend](F.col("l"), F.col("r"), F.col("a"))).alias("v"))
+    p = p.withColumn("_angle", F.when(right | F.coalesce(F.col("x") >= F.col("_next"), F.lit(False)), (F.col("x") - lo) * step)).withColumn("_right", right).withColumn("_step", step)
+    both = p.groupBy("row", "y", "x").agg(F.max(F.when(~F.col("_right"), F.col("v"))).alias("l"), F.max(F.when(F.col("_right"), F.col("v"))).alias("r"), F.max("_angle").alias("a"), F.max("_step").alias("s"))
+    return both.select("row", "y", "x", F.when(F.col("l").isNull(), F.col("r")).when(F.col("r").isNull(), F.col("l")).otherwise(BLENDS[blend](F.col("l"), F.col("r"), F.col("a"), F.col("s"))).alias("v"))
 
 
 def volume_dims(stacks: DataFrame, height: int, width: int, slices: int) -> DataFrame:

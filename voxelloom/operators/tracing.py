@@ -2,46 +2,63 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.pixel import sphere_radius, sphere_volume
-from ..plans.scratch import written
 
 #: What an extended node has where the plain one says nothing.
 ESWC_DEFAULTS = {"seg_id": 0, "level": 1, "mode": 0, "timestamp": 1, "TFresindex": 1}
 
 
+def _preorder(ids: np.ndarray, parents: np.ndarray) -> tuple[list[int], list[int]]:
+    """(ids, parents) of one tracing, given by ascending id, from its roots: each node before its children, those in ascending order."""
+    ids, parents = ids.tolist(), parents.tolist()
+    roots = [i for i, p in zip(ids, parents, strict=True) if p == -1]
+    if not roots:
+        roots = [i for i, p in zip(ids, parents, strict=True) if p == 0] or [i for i in ids if i == 1]
+    below: dict[int, list[int]] = {}
+    top = set(roots)
+    for i, p in zip(ids, parents, strict=True):
+        if i not in top:
+            below.setdefault(p, []).append(i)
+    out, up, todo = [], [], [(r, -1) for r in reversed(roots)]
+    while todo:
+        node, parent = todo.pop()
+        out.append(node)
+        up.append(parent)
+        todo += [(x, node) for x in reversed(below.get(node, ()))]
+    return out, up
+
+
 def sort_tree(nodes: DataFrame, file: str = "file") -> DataFrame:
     """Nodes of each file in pre-order from its root, renumbered from 1, with parents to match.
 
     The root is the node with parent -1, else the one with parent 0, else id 1; several -1 roots follow each other.
-    Children follow their parent before its other branches, the last listed child first. Nodes that no root reaches
-    are dropped; a cycle is never reached, so it can't loop. Several parent-0 roots without a -1 root fail.
-    Repeated rows count once. Levels are joined one by one over written tables.
+    Children follow their parent before its other branches, the least id first. Nodes that no root reaches are dropped;
+    a cycle is never reached, so it can't loop. Several parent-0 roots without a -1 root fail. Repeated rows count once.
+    A file is one tracing, whose ids and parents alone are ordered in one task.
     """
     n = nodes.dropDuplicates()
     cells = [c for c in n.columns if c not in (file, "id", "parent_id")]
-    kinds = n.groupBy(file).agg(F.max((F.col("parent_id") == -1).cast("int")).alias("minus"), F.sum((F.col("parent_id") == 0).cast("int")).alias("zeros"))
-    n = n.join(kinds, file)
-    if not n.filter("minus = 0 and zeros > 1").isEmpty():
+    kind = n.schema[file].dataType.simpleString()
+    roots = n.groupBy(file).agg(F.max((F.col("parent_id") == -1).cast("int")).alias("minus"), F.sum((F.col("parent_id") == 0).cast("int")).alias("zeros"))
+    if not roots.filter("minus = 0 and zeros > 1").isEmpty():
         raise ValueError("a file has several roots with parent 0")
-    root = F.when(F.col("minus") == 1, F.col("parent_id") == -1).when(F.col("zeros") == 1, F.col("parent_id") == 0).otherwise(F.col("id") == 1)
-    n = n.withColumn("_root", root)
-    order = Window.partitionBy(file, F.when(F.col("_root"), 0).otherwise(1), "parent_id").orderBy(F.when(F.col("_root"), F.col("id")).otherwise(-F.col("id")))
-    n = written(n.withColumn("_rank", F.lpad(F.row_number().over(order).cast("string"), 8, "0")), "nodes")
-    level = written(n.filter("_root").select(file, "id", F.col("_rank").alias("_path"), F.lit(-1).alias("_parent")), "level")
-    all_ = level
-    children = n.filter("not _root")
-    while not level.isEmpty():
-        up = level.select(F.col(file).alias("_f"), F.col("id").alias("_up"), F.col("_path").alias("_above"))
-        level = written(children.join(up, (F.col(file) == F.col("_f")) & (F.col("parent_id") == F.col("_up"))).select(file, "id", F.concat("_above", F.lit("/"), "_rank").alias("_path"), F.col("_up").alias("_parent")), "level")
-        all_ = all_.unionByName(level)
-    numbered = written(all_.withColumn("_new", F.row_number().over(Window.partitionBy(file).orderBy("_path"))), "order")
-    parent = numbered.select(file, F.col("id").alias("_parent"), F.col("_new").alias("_pnew"))
-    out = numbered.join(parent, [file, "_parent"], "left").join(n.select(file, "id", *cells), [file, "id"])
-    return out.select(file, F.col("_new").cast("int").alias("id"), *cells, F.coalesce("_pnew", F.lit(-1)).cast("int").alias("parent_id"))
+
+    def run(own: pa.Table) -> pa.Table:
+        given, first = np.unique(own["id"].to_numpy(), return_index=True)
+        ids, up = _preorder(given, own["parent_id"].to_numpy()[first])
+        place = {i: k for k, i in enumerate(ids, 1)}
+        return pa.table({"_file": own["file"].take(pa.array([0] * len(ids), pa.int64())), "_id": pa.array(ids, pa.int64()), "_new": pa.array(range(1, len(ids) + 1), pa.int32()), "_up": pa.array([place.get(p, -1) for p in up], pa.int32())})
+
+    links = n.select(F.col(file).alias("file"), F.col("id").cast("long").alias("id"), F.col("parent_id").cast("long").alias("parent_id"))
+    order = links.groupBy("file").applyInArrow(run, f"_file {kind}, _id long, _new int, _up int")
+    out = n.join(order, (F.col(file) == F.col("_file")) & (F.col("id") == F.col("_id")))
+    return out.select(file, F.col("_new").alias("id"), *cells, F.col("_up").alias("parent_id"))
 
 
 def to_eswc(swc: DataFrame) -> DataFrame:

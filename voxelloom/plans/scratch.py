@@ -11,9 +11,11 @@ _SETTING = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by the session; a folder of this machine only where none is named, as in tests."""
+    """The folder named by the session; where none is named, a folder of this machine, which only a local session can share."""
     named = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set {_SETTING} to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="voxelloom-")
         spark.conf.set(_SETTING, named)
     return named.rstrip("/")

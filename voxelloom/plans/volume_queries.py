@@ -353,15 +353,15 @@ def neighbour_pairs(spark, sf_dir):
 def _edges(spark, sf_dir):
     k = F.col("l_orderkey")
     d = F.element_at(F.array(F.lit("V"), F.lit("H"), F.lit("D")), (F.col("l_linenumber") % 3 + 1).cast("int"))
-    return table(spark, sf_dir, "lineitem").select((k % 40).cast("int").alias("r0"), (k % 7).cast("int").alias("c0"), d.alias("dir"), F.col("l_partkey").cast("int").alias("layer"), (F.col("l_quantity") - 25).cast("int").alias("displ"), F.lit(3).alias("default_displ"), (F.round(F.col("l_discount") * 10) / 10).alias("peak"), (F.col("l_suppkey") % 24 + 1).cast("int").alias("width"), F.lit(99).alias("inv_width"))
+    return table(spark, sf_dir, "lineitem").select((k % 40).cast("int").alias("r0"), (k % 7).cast("int").alias("c0"), d.alias("dir"), F.col("l_partkey").cast("int").alias("layer"), (F.col("l_quantity") - 25).cast("int").alias("displ"), F.lit(3).alias("default_displ"), (F.round(F.col("l_discount") * 10) / 10).alias("peak"), (F.col("l_suppkey") % 24 + 1).cast("int").alias("width"), (F.col("l_suppkey") % 5 * 10 + 30).cast("int").alias("inv_width"))
 
 
 _EDGES = """ed as (select cast(l_orderkey % 40 as integer) as r0, cast(l_orderkey % 7 as integer) as c0, ['V', 'H', 'D'][l_linenumber % 3 + 1] as dir, cast(l_partkey as integer) as layer, cast(trunc(l_quantity - 25) as integer) as displ, 3 as default_displ,
-  round(l_discount * 10) / 10 as peak, cast(l_suppkey % 24 + 1 as integer) as width, 99 as inv_width from lineitem),
-er as (select *, sqrt(0.5 * ((100 - width * 100.0 / 24) / 100) * ((100 - width * 100.0 / 24) / 100) + 0.5 * peak * peak) as rel from ed)"""
+  round(l_discount * 10) / 10 as peak, cast(l_suppkey % 24 + 1 as integer) as width, cast(l_suppkey % 5 * 10 + 30 as integer) as inv_width from lineitem),
+er as (select *, sqrt(0.5 * (1 - cast(width as double) / inv_width) * (1 - cast(width as double) / inv_width) + 0.5 * peak * peak) as rel from ed)"""
 
 
-@query(f"""with {_EDGES}, b as (select *, row_number() over (partition by r0, c0, dir order by rel desc, layer, displ desc, width desc) as k from er)
+@query(f"""with {_EDGES}, b as (select *, row_number() over (partition by r0, c0, dir order by round(rel, 9) desc, layer, displ desc, default_displ desc, peak desc, width desc, inv_width desc) as k from er)
 select r0, c0, dir, layer, case when rel < 0.6 then 0.0 else peak end as peak, case when rel < 0.6 then inv_width else width end as width, round(case when rel < 0.6 then 0.0 else rel end, 9) as reliability from b where k = 1""")
 def project_threshold(spark, sf_dir):
     p = align.project(_edges(spark, sf_dir).dropDuplicates(), ["r0", "c0", "dir"])
@@ -370,13 +370,13 @@ def project_threshold(spark, sf_dir):
 
 @query(f"""with {_EDGES} select r0, c0, max(rel) >= 0.68 as stitchable from er group by all""")
 def stitchable_tiles(spark, sf_dir):
-    return align.stitchable(_edges(spark, sf_dir).withColumn("reliability", P.reliability(F.col("peak"), F.col("width"))), ["r0", "c0"], 0.68)
+    return align.stitchable(_edges(spark, sf_dir).withColumn("reliability", P.reliability(F.col("peak"), F.col("width"), F.col("inv_width"))), ["r0", "c0"], 0.68)
 
 
 @query("""with e as (select l_orderkey, l_linenumber, cast(trunc(l_quantity) as integer) as da, l_tax * 10 as pa, cast(case when l_suppkey % 12 = 1 then 1000000 else l_suppkey % 12 + (case when l_suppkey % 12 = 0 then 1 else 0 end) end as integer) as wa0, cast(l_partkey % 50 as integer) as db, l_discount * 10 as pb, cast(l_partkey % 9 + 2 as integer) as wb from lineitem),
 f as (select *, case when wa0 = 1 then 1000000 else wa0 end as wa, pa >= 0.10 and (case when wa0 = 1 then 1000000 else wa0 end) < 1000000 as va, pb >= 0.10 and wb < 1000000 as vb from e)
-select l_orderkey, l_linenumber, cast(case when va and vb then case when abs(da - db) < least(wa, wb) then floor((da * pa / wa + db * pb / wb) / (pa / wa + pb / wb) + 0.5) when pa / wa >= pb / wb then da else db end when va then da when vb then db else 0 end as integer) as displ,
-cast(case when va and vb then case when abs(da - db) < least(wa, wb) then greatest(wa, wb) when pa / wa >= pb / wb then wa else wb end when va then wa when vb then wb else 1000000 end as integer) as width from f""")
+select l_orderkey, l_linenumber, cast(case when va and vb then case when abs(da - db) < least(wa, wb) then floor((da * pa + db * pb) / (pa + pb) + 0.5) when pa / wa > pb / wb then da else db end when va then da when vb then db else 0 end as integer) as displ,
+cast(case when va and vb then case when abs(da - db) < least(wa, wb) then greatest(wa, wb) when pa / wa > pb / wb then wa else wb end when va then wa when vb then wb else 1000000 end as integer) as width from f""")
 def combine_estimates(spark, sf_dir):
     m = F.col("l_suppkey") % 12
     wa = F.when(m == 1, align.INFINITE_WIDTH).otherwise(m + F.when(m == 0, 1).otherwise(0)).cast("int")
@@ -398,7 +398,7 @@ def best_alignment(spark, sf_dir):
     return align.best_alignment(_records(spark, sf_dir), ["xidx", "yidx", "zidx"]).select("xidx", "yidx", "zidx", "score", "zoff")
 
 
-@query(f"""with {_RECORDS}, g as (select zidx as z, count(*) * 3 as n, median(zoff) as m from rc where score >= 0.01 group by 1) select z, case when n > 900 then m else 0.0 end as zoff from g""")
+@query(f"""with {_RECORDS}, g as (select zidx as z, count(*) * 3 as n, median(case when zoff = -1 then 0 else zoff end) as m from rc where score > 0.01 group by 1) select z, case when n > 900 then m else 0.0 end as zoff from g""")
 def consensus_z(spark, sf_dir):
     return align.consensus_z(_records(spark, sf_dir).drop("z").withColumnRenamed("zidx", "z"), 0.01, 900, 3)
 
@@ -408,9 +408,15 @@ def row_delta(spark, sf_dir):
     return align.row_delta(_records(spark, sf_dir), 100)
 
 
-@query(f"""with {_RECORDS} select xidx, round(greatest(max(xoff) - median(xoff), median(xoff) - min(xoff)) * 1.25 + 2, 6) as xoff, round(greatest(max(zoff) - median(zoff), median(zoff) - min(zoff)) * 1.25 + 2, 6) as zoff from rc group by 1""")
+@query(f"""with {_RECORDS}, l as (select axis, off, v from (select ['x', 'y', 'z'][zidx % 3 + 1] as axis, case when xidx = 3 and yidx = 2 then xoff * 9 else xoff end as xoff, yoff, zoff, score from rc where score >= 0.01) unpivot (v for off in (xoff, yoff, zoff))),
+e as (select axis, off, median(v) as m, stddev_pop(v) * 2.0 as s from l group by all), k as (select l.axis, l.off, median(v) as m, min(v) as lo, max(v) as hi from l join e on e.axis = l.axis and e.off = l.off and v >= m - s and v <= m + s group by all),
+r as (select *, greatest(hi - m, m - lo) as reach from k)
+select {", ".join(f"cast(trunc(max(case when off = '{n}' then reach end) * 1.25) as integer) + 2 as {n[0]}_slop" for n in ("xoff", "yoff", "zoff"))},
+{", ".join(f"cast(trunc(max(case when off = '{n}' and axis = '{x}' then m end)) as integer) as {n}_{x}" for x in "xyz" for n in ("xoff", "yoff", "zoff"))} from r""")
 def next_slop(spark, sf_dir):
-    return _records(spark, sf_dir).groupBy("xidx").agg(align.next_slop(None, "xoff", 2), align.next_slop(None, "zoff", 2))
+    axis = F.element_at(F.array(F.lit("x"), F.lit("y"), F.lit("z")), F.col("zidx") % 3 + 1)
+    far = F.when((F.col("xidx") == 3) & (F.col("yidx") == 2), F.col("xoff") * 9).otherwise(F.col("xoff"))
+    return align.next_round(_records(spark, sf_dir).withColumn("axis", axis).withColumn("xoff", far), 0.01, 2.0, 1.25, 2)
 
 
 @query("""with c as (select n_nationkey % 5 as x, n_nationkey // 5 as y, n_regionkey as p, (n_nationkey * 7) % 4 = 0 as strong from nation)
@@ -517,10 +523,10 @@ def regex_names(spark, sf_dir):
     return c.select("c_custkey", N.stem(F.col("f")).alias("stem"), N.extension(F.col("f")).alias("ext"), N.plane_name("img", k % 1000, 1000).alias("plane"), marker[0].alias("mx"), marker[3].alias("size"))
 
 
-@query("""select p_partkey, cast(unnest(list_concat(range(p_size, p_size + p_partkey % 4), range(100, 100 + p_partkey % 3))) as integer) as z from part""")
+@query("""select p_partkey, cast(unnest(list_concat(range(p_size + p_partkey % 2, p_size + p_partkey % 4 + cast(p_partkey % 5 = 0 as integer)), range(100, 100 + p_partkey % 3 + cast(p_partkey % 5 = 0 as integer)))) as integer) as z from part""")
 def z_ranges(spark, sf_dir):
     k, s = F.col("p_partkey"), F.col("p_size")
-    text = F.format_string("[%d,%d);[100,%d)", s.cast("int"), (s + k % 4).cast("int"), (100 + k % 3).cast("int"))
+    text = F.format_string("%s%d,%d);[100,%d%s", F.when(k % 2 == 1, "(").otherwise("["), s.cast("int"), (s + k % 4).cast("int"), (100 + k % 3).cast("int"), F.when(k % 5 == 0, "]").otherwise(")"))
     return table(spark, sf_dir, "part").select("p_partkey", F.explode(N.kept_z(text)).alias("z"))
 
 
@@ -570,12 +576,12 @@ def channel_priority(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", inventory.channel_order(F.col("o_orderpriority"), ["2-HIGH", "5-LOW"]).alias("ord"))
 
 
-@query("""with o as (select c_custkey, ['4x', '8x', '9x', '10x', '15x', '40x', '63x'][c_custkey % 7 + 1] as objective from customer), m(objective, voxel, tile_width) as (values ('4x', 2.0::double, 1600), ('8x', 1.0, 2000), ('9x', 0.8, 2000), ('10x', 0.6, 2000), ('15x', 0.422, 2000), ('40x', 0.14, 2048))
-select c_custkey, objective, coalesce(voxel, -1.0) as voxel, coalesce(tile_width, -1) as tile_width from o left join m using (objective)""")
+@query("""with o as (select c_custkey, ['4x', '8x', '9x', '10x', '15x', '40x', '63x'][c_custkey % 7 + 1] as objective from customer), m(objective, voxel, tile_height, tile_width) as (values ('4x', 1.809::double, 1600, 2000), ('8x', 0.82, 2000, 2000), ('9x', 0.72, 2000, 2000), ('10x', 0.62, 2000, 2000), ('15x', 0.41, 2000, 2000), ('40x', 0.14, 2048, 2048))
+select c_custkey, objective, coalesce(voxel, -1.0) as voxel, coalesce(tile_height, -1) as tile_height, coalesce(tile_width, -1) as tile_width from o left join m using (objective)""")
 def objective_lookup(spark, sf_dir):
     names_ = F.array(*map(F.lit, ["4x", "8x", "9x", "10x", "15x", "40x", "63x"]))
     c = table(spark, sf_dir, "customer").select("c_custkey", F.element_at(names_, (F.col("c_custkey") % 7 + 1).cast("int")).alias("objective"))
-    return inventory.with_objective(c, "objective").select("c_custkey", "objective", F.coalesce("voxel", F.lit(-1.0)).alias("voxel"), F.coalesce("tile_width", F.lit(-1)).alias("tile_width"))
+    return inventory.with_objective(c, "objective").select("c_custkey", "objective", F.coalesce("voxel", F.lit(-1.0)).alias("voxel"), *(F.coalesce(c, F.lit(-1)).alias(c) for c in ("tile_height", "tile_width")))
 
 
 @query("""with p as (select l_suppkey, l_orderkey as v, row_number() over (partition by l_suppkey order by l_orderkey) as k from (select distinct l_suppkey, l_orderkey from lineitem)) select l_suppkey, (max(v) - min(v)) / 10.0 as z_step from p where k <= 2 group by 1""")
@@ -606,7 +612,7 @@ _TREE = """tr as (select file, id, cast(id % 5 as integer) as type, p_retailpric
   from (select p_brand as file, cast(row_number() over (partition by p_brand order by p_partkey) as integer) as id, p_size, p_retailprice from part))"""
 
 
-@query(f"""with recursive {_TREE}, w as (select file, id, [cast(1 as bigint)] as path, -1 as up from tr where parent_id = -1 union all select t.file, t.id, list_append(w.path, 1000000000 - t.id), t.parent_id from w join tr t on t.file = w.file and t.parent_id = w.id),
+@query(f"""with recursive {_TREE}, w as (select file, id, [cast(1 as bigint)] as path, -1 as up from tr where parent_id = -1 union all select t.file, t.id, list_append(w.path, t.id), t.parent_id from w join tr t on t.file = w.file and t.parent_id = w.id),
 n as (select file, id, up, row_number() over (partition by file order by path) as k from w)
 select n.file, cast(n.k as integer) as id, t.type, t.radius, cast(coalesce(p.k, -1) as integer) as parent_id from n left join n p on p.file = n.file and p.id = n.up join tr t on t.file = n.file and t.id = n.id""")
 def swc_sort(spark, sf_dir):

@@ -115,6 +115,6 @@ def channel_order(channel: Column, first: list[str]) -> Column:
 
 
 def with_objective(df: DataFrame, objective: str) -> DataFrame:
-    """Voxel size and tile width of each row's objective; null for one that isn't known."""
-    dims = df.sparkSession.createDataFrame([(k, v, w) for k, (v, w) in OBJECTIVES.items()], f"{objective} string, voxel double, tile_width int")
+    """Voxel size, tile height and tile width of each row's objective; null for one that isn't known."""
+    dims = df.sparkSession.createDataFrame([(k, *v) for k, v in OBJECTIVES.items()], f"{objective} string, voxel double, tile_height int, tile_width int")
     return df.join(F.broadcast(dims), objective, "left")  # a fixed list of six

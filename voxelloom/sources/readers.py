@@ -13,11 +13,11 @@ from ..model import APO_COLUMNS
 
 
 def decode_raw(content: bytes) -> np.ndarray | None:
-    """A plane of 16-bit pixels after two 32-bit sizes, in the byte order that gives the smaller width; None if it isn't one."""
+    """A plane of 16-bit pixels after two 32-bit sizes, in the byte order that gives the smaller width, big-endian if both are equal; None if it isn't one."""
     if len(content) < 8:
         return None
     little, big = (int(np.frombuffer(content, t, 1)[0]) for t in ("<u4", ">u4"))
-    order = "<" if little <= big else ">"
+    order = "<" if little < big else ">"
     width, height = (int(x) for x in np.frombuffer(content, f"{order}u4", 2))
     if len(content) < 8 + 2 * width * height:
         return None

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,14 +16,18 @@ def new_planes(spark: SparkSession, folder: str, schema) -> DataFrame:
 
 
 def process_new(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], out: str, manifest: str, keys: list[str], checkpoint: str) -> StreamingQuery:
-    """Each batch's planes that the manifest doesn't list yet are transformed, written and listed; a replayed batch adds nothing."""
+    """Each batch's planes that no earlier batch listed are transformed, written and listed. A replayed batch finds the same
+    planes and writes them over what it wrote before: both folders hold one part for each run (its checkpoint) and epoch."""
+    run = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
 
     def batch(df: DataFrame, epoch: int) -> None:
         spark = df.sparkSession
-        spark.createDataFrame([], df.select(*keys).schema).write.mode("append").parquet(manifest)
-        fresh = df.dropDuplicates(keys).join(spark.read.parquet(manifest), keys, "left_anti").persist()
-        transform(fresh).write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
-        fresh.select(*keys).write.mode("append").parquet(manifest)
+        part = f"run={run}/epoch={epoch}"
+        spark.createDataFrame([], df.select(*keys).schema).write.mode("overwrite").parquet(f"{manifest}/run=none/epoch=-1")
+        listed = spark.read.parquet(manifest).filter((F.col("run") != run) | (F.col("epoch") < epoch)).select(*keys)
+        fresh = df.dropDuplicates(keys).join(listed, keys, "left_anti").persist()
+        transform(fresh).write.mode("overwrite").parquet(f"{out}/{part}")
+        fresh.select(*keys).write.mode("overwrite").parquet(f"{manifest}/{part}")
         fresh.unpersist()
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
