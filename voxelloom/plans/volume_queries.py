@@ -286,7 +286,7 @@ def bounding_volume(spark, sf_dir):
 def _stack_pixels(spark, sf_dir):
     """Two-dimensional stacks of 12 x 12 pixels that overlap by 4."""
     k = F.col("p_partkey")
-    t = table(spark, sf_dir, "part").select(k.alias("stack"), (k % 20 * 8).cast("int").alias("x0"), (F.floor(k / 20) * 8).cast("int").alias("y0"))
+    t = table(spark, sf_dir, "part").select(k.alias("stack"), (k % 20 * 8).cast("int").alias("x0"), (F.floor(k / 20) * 8).cast("int").alias("y0")).repartition(spark.sparkContext.defaultParallelism, "stack")  # tiles lie apart, as their files do
     s = t.select("stack", "x0", (F.col("x0") + 12).alias("x1"), "y0", (F.col("y0") + 12).alias("y1"), F.lit(0).alias("z0"), F.lit(1).alias("z1"))
     px = s.withColumn("y", F.explode(F.sequence("y0", F.col("y1") - 1))).withColumn("x", F.explode(F.sequence("x0", F.col("x1") - 1)))
     return s, px.select("stack", F.lit(0).alias("z"), "y", "x", ((F.col("stack") * 31 + F.col("x") * 7 + F.col("y") * 13) % 250 + 1).cast("int").alias("v"))
