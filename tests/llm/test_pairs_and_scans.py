@@ -190,9 +190,12 @@ def test_contamination_matches_brute_force(spark):
     bench = spark.createDataFrame(items, "item_id long, text string")
     key = lambda r: (r[0] is None, r[0] or 0, *r[1:])
     want = sorted(map(key, brute_hits(rows, items)))
-    for block_words in (1 << 20, 40):
-        got = decontaminate.digest(decontaminate.contamination(docs(spark, rows), bench, block_words=block_words)).drop("longest_match").collect()
-        assert sorted(map(key, map(tuple, got))) == want
+    whole = None
+    for block_words, together in ((1 << 20, 8), (20, 100), (20, 2), (20, 1)):
+        found = decontaminate.contamination(docs(spark, rows), bench, block_words=block_words, together=together)
+        assert sorted(map(key, map(tuple, decontaminate.digest(found).drop("longest_match").collect()))) == want
+        whole = whole or sorted(map(str, found.collect()))
+        assert sorted(map(str, found.collect())) == whole
 
 
 def test_longest_match_and_places(spark):
@@ -206,7 +209,10 @@ def test_clean_documents_stay(spark):
     rows, items = leak_tables()
     kept = decontaminate.drop_contaminated(docs(spark, rows), spark.createDataFrame(items, "item_id long, text string"))
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(i) for i, *_, hit in brute_hits(rows, items) if not hit)
+    passes = decontaminate.drop_contaminated(docs(spark, rows), spark.createDataFrame(items, "item_id long, text string"), block_words=20, together=1)
+    assert sorted(str(r.doc_id) for r in passes.collect()) == sorted(str(r.doc_id) for r in kept.collect()) and kept.columns == docs(spark, []).columns
     nothing = spark.createDataFrame([], "item_id long, text string")
+    assert decontaminate.contamination(docs(spark, []), nothing).count() == 0
     assert decontaminate.drop_contaminated(docs(spark, rows), nothing).count() == len(rows)
 
 

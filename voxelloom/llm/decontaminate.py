@@ -7,12 +7,17 @@ diagonal give the longest match of an item in a document.
 
 Words are maximal runs of ASCII letters, digits and non-ASCII characters, A-Z in lower
 case. A window is `width` consecutive words of an item, or the whole item if that is
-shorter. The benchmark is sent to tasks in blocks of at most `block_words` words, one
-in memory at a time, so that it may be of any size.
+shorter. The benchmark goes to tasks in blocks of about `block_words` words, one in memory
+at a time and `together` in a pass at most. A larger benchmark takes further passes over the
+documents, each of which carries on the marks that the one before wrote; its broadcasts are
+dropped in between, so that driver and executors never hold more than those of one pass.
 
 Defined cases: null and empty texts have no words and no hits; items without words match
 nothing; an item with a null id marks words but isn't listed; repeated items count once
-by id; repeated documents are judged alike; an empty benchmark hits nothing.
+by id; repeated documents are judged alike; a very long text is a shard of its own; of equal
+longest matches the first place in the item and then in the document is told; an empty
+benchmark hits nothing, and no documents give no rows; extra columns are ignored by
+`contamination` and passed on by `drop_contaminated`, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,6 +32,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .storage import written
 from .textkit import LOWER, NOT_ALNUM, U64, Words, slices
 
 SHARD_BYTES = 1 << 22
@@ -62,18 +68,21 @@ def prepare(ids: list, texts: list, width: int) -> Queries:
     return Queries(table, np.array(lengths, np.int64), np.array(items, np.int64), np.array(offsets, np.int64), [None if x is None else str(x) for x in ids])
 
 
-def blocks(benchmark: DataFrame, width: int, block_words: int) -> list[Broadcast]:
-    """The benchmark as broadcast blocks of a bounded number of words."""
+def passes(benchmark: DataFrame, width: int, block_words: int, together: int) -> Iterator[list[Broadcast]]:
+    """The benchmark as broadcast blocks of about `block_words` words, `together` at a time; those of a pass go with the next."""
     spark = benchmark.sparkSession
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").distinct()
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    n = max(1, -(-chars // (2 * block_words)))
-    out = []
-    for k in range(n):
-        part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k) if n > 1 else items
-        rows = part.collect()
-        out.append(spark.sparkContext.broadcast(prepare([r[0] for r in rows], [r[1] for r in rows], width)))
-    return out
+    n = max(1, -(-chars // (4 * block_words)))
+    for k in range(0, n, together):
+        held = []
+        for j in range(k, min(n, k + together)):
+            rows = (items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == j) if n > 1 else items).collect()
+            held.append(spark.sparkContext.broadcast(prepare([r[0] for r in rows], [r[1] for r in rows], width)))
+        yield held
+        if len(held) == together < n:
+            for x in held:
+                x.destroy()
 
 
 def _sorted(major: np.ndarray, minor: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -175,7 +184,7 @@ class SuffixArray:
 
 
 def _matches(data: np.ndarray, offsets: np.ndarray, held: list[Broadcast], width: int) -> tuple[np.ndarray, np.ndarray, list[dict]]:
-    """Words, hit words and, by item, (longest match, its place in the item, in the document) of each row."""
+    """How many words each row has, whether each word is hit and, by item, (longest match, its place in the item, in the document) of each row."""
     words = Words(data, offsets, NOT_ALNUM, LOWER)
     counts, rows = words.counts, len(offsets) - 1
     begins = words.first[:-1] + np.arange(rows)  # each row is followed by an end mark
@@ -205,34 +214,70 @@ def _matches(data: np.ndarray, offsets: np.ndarray, held: list[Broadcast], width
                     own[name] = (n, o, p)
         if len(held) > 1:
             b.__dict__.pop("_value", None)  # one block in memory at a time
-    hit = np.concatenate([[0], np.cumsum(np.cumsum(cover[:-1]) > 0)])
-    return counts, hit[begins + counts] - hit[begins], found
+    return counts, (np.cumsum(cover[:-1]) > 0)[np.arange(len(words.hash)) + words.rows()], found
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, block_words: int = 1 << 20) -> DataFrame:
+def _by_row(counts: np.ndarray, hit: np.ndarray) -> np.ndarray:
+    """Where each row's hit words begin among all hit words."""
+    return np.concatenate([[0], np.cumsum(hit)])[np.concatenate([[0], np.cumsum(counts)])]
+
+
+_MARKED = "doc_id long, text string, n_words long, marks array<int>, items array<string>, longest array<long>, item_at array<long>, doc_at array<long>"
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, block_words: int = 1 << 18, together: int = 8) -> DataFrame:
     """One row a document: words, hit words, and for each item met (sorted by id) the longest verbatim match and its places."""
-    held = blocks(benchmark, width, block_words)
+    cells = ["items", "longest", "item_at", "doc_at"]
+    state = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    for held in passes(benchmark, width, block_words, together):
+        state = _marked(state, held, width)
+        if len(held) == together:  # another pass may follow, and this one's blocks go
+            state = written(state, "marked")
+    return state.select("doc_id", "n_words", F.size("marks").cast("long").alias("n_hit"), *cells)
+
+
+def _marked(state: DataFrame, held: list[Broadcast], width: int) -> DataFrame:
+    """The rows of `state` (doc_id, text and, after the first pass, the marks and matches so far) with those of the held blocks."""
+    first = "marks" not in state.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in slices(batches, "text", SHARD_BYTES):
             counts, hit, found = _matches(data, offsets, held, width)
+            if not first:
+                begins = np.concatenate([[0], np.cumsum(counts)])
+                old = rows.column("marks")
+                hit[old.flatten().to_numpy() + np.repeat(begins[:-1], np.diff(old.offsets.to_numpy()))] = True
+                for own, *cells in zip(found, *(rows.column(c).to_pylist() for c in ("items", "longest", "item_at", "doc_at")), strict=True):
+                    for name, n, o, p in zip(*cells, strict=True):
+                        if name not in own or (-n, o, p) < (-own[name][0], *own[name][1:]):
+                            own[name] = (n, o, p)
             names = [sorted(k for k in own if k is not None) for own in found]
             cells = [pa.array([[own[k][j] for k in ks] for own, ks in zip(found, names, strict=True)], pa.list_(pa.int64())) for j in range(3)]
-            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(counts), pa.array(hit), pa.array(names, pa.list_(pa.string())), *cells], names=["doc_id", "n_words", "n_hit", "items", "longest", "item_at", "doc_at"])
+            at = np.flatnonzero(hit)
+            bounds = _by_row(counts, hit)
+            starts = np.repeat(np.concatenate([[0], np.cumsum(counts)])[:-1], np.diff(bounds))
+            marks = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array((at - starts).astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("text"), pa.array(counts), marks, pa.array(names, pa.list_(pa.string())), *cells], names=["doc_id", "text", "n_words", "marks", "items", "longest", "item_at", "doc_at"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _RESULT)
+    return state.mapInArrow(run, _MARKED)
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 10, block_words: int = 1 << 20) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 10, block_words: int = 1 << 18, together: int = 8) -> DataFrame:
     """The documents that hold no window of the benchmark, with all their columns; no shuffle."""
-    held = blocks(benchmark, width, block_words)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, offsets in slices(batches, "text", SHARD_BYTES):
-            _, hit, _ = _matches(data, offsets, held, width)
-            yield rows.filter(pa.array(hit == 0))
+    def clean(df: DataFrame, held: list[Broadcast]) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for rows, data, offsets in slices(batches, "text", SHARD_BYTES):
+                counts, hit, _ = _matches(data, offsets, held, width)
+                yield rows.filter(pa.array(np.diff(_by_row(counts, hit)) == 0))
+
+        return df.mapInArrow(run, df.schema)
 
-    return docs.mapInArrow(run, docs.schema)
+    for held in passes(benchmark, width, block_words, together):
+        docs = clean(docs, held)
+        if len(held) == together:  # another pass may follow, and this one's blocks go
+            docs = written(docs, "clean")
+    return docs
 
 
 def digest(found: DataFrame) -> DataFrame:
