@@ -106,3 +106,15 @@ def test_copies_only_move_their_own_texts(spark):
     plan = near_dedup.Plan()
     clear, held = near_dedup._sieved(docs(spark, rows), spark.createDataFrame([(1000 + i,) for i in range(5)], "doc_id long"), plan)
     assert held.count() + clear.count() == len(rows) and {1000, 1004} <= {r[0] for r in held.select("_id").collect()} and held.count() < 30
+
+
+def test_no_join_moves_texts_before_the_sieve(spark):
+    rows = [(i, prose(2000 + i, 40)) for i in range(50)]
+    named = spark.createDataFrame([(7,)], "doc_id long")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        held = near_dedup._sieved(docs(spark, rows), named, near_dedup.Plan())[1]
+        plan = held.join(named, held["_id"] == named["doc_id"], "left_anti")._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.index("LeftAnti") < plan.index("shiftright")

@@ -185,7 +185,8 @@ def _sieved(docs: DataFrame, ids: DataFrame, plan: Plan) -> tuple[DataFrame, Dat
     told = docs.select(F.struct(*docs.columns).alias("row"), "text", F.col("doc_id").cast("long").alias("_id"))
     told = told.withColumn("_p", place(F.col("_id"))).withColumn("_w", F.floor(F.col("_p") / 64).cast("long")).join(F.broadcast(written(words, "mask")), "_w", "left")
     hit = F.expr("_m is not null and shiftright(_m, cast(_p % 64 as int)) & 1 = 1")
-    return told.filter(~hit), told.filter(hit).select("row", "text", "_id")
+    # the id depends on the mask, so that no later join on it can be moved below the filter, to all texts
+    return told.filter(~hit), told.filter(hit).select("row", "text", F.when(F.col("_m") != 0, F.col("_id")).alias("_id"))
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, plan: Plan) -> DataFrame:
