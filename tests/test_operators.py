@@ -150,7 +150,7 @@ def test_nearest_strong_matches_brute_force(spark):
 def test_block_coverage_faults(spark):
     shape = {"x": 20, "y": 20, "z": 10}
     good = spatial.block_grid(shape, {"x": 10, "y": 10, "z": 5}, spark)
-    assert {r.fault: r.n for r in spatial.coverage_faults(good, shape).collect()} == {"corners": 0, "uncovered z": 0, "overlap": 0}
+    assert {r.fault: r.n for r in spatial.coverage_faults(good, shape).collect()} == {"corners": 0, "uncovered z": 0, "overlap": 0, "face gaps": 0}
     bad = good.filter("z1 > 1").withColumn("x2", F.col("x2") + 4).withColumn("y2", F.col("y2") + 4)
     found = {r.fault: r.n for r in spatial.coverage_faults(bad, shape).collect()}
     assert found["corners"] > 0 and found["uncovered z"] == 5
@@ -383,3 +383,27 @@ def test_z_ranges_of_all_brackets(spark):
 def test_reliability_is_relative_to_the_invalid_width(spark):
     assert value(spark, pixel.reliability(F.lit(0.6), F.lit(15), F.lit(30))) == pytest.approx((0.5 * 0.25 + 0.5 * 0.36) ** 0.5)
     assert value(spark, pixel.reliability(F.lit(0.0), F.lit(99), F.lit(99))) == 0
+
+
+def test_faces_with_holes(spark):
+    shape = {"x": 5, "y": 4, "z": 3}
+    cells = [(1, 1, 5, 1, 2, 1, 3), (2, 1, 3, 3, 4, 1, 3), (3, 5, 5, 3, 4, 2, 3)]  # the column x = 4 of the upper half is open, and x = 5 at z = 1
+    b = spark.createDataFrame(cells, "block int, x1 int, x2 int, y1 int, y2 int, z1 int, z2 int")
+    got = {(r.axis, r.place): r.n for r in spatial.face_gaps(b, shape).collect()}
+    held = {(x, y, z) for _, a, b_, c, d, e, f in cells for x in range(a, b_ + 1) for y in range(c, d + 1) for z in range(e, f + 1)}
+    size = [shape[c] for c in "xyz"]
+    want = {}
+    for k, axis in enumerate("xyz"):
+        for place in {1, size[k]}:
+            at = [range(1, n + 1) if j != k else [place] for j, n in enumerate(size)]
+            want[axis, place] = sum((x, y, z) not in held for x in at[0] for y in at[1] for z in at[2])
+    assert got == want and sum(want.values()) > 0
+
+
+def test_a_pair_must_have_one_displacement(spark):
+    pairs = spark.createDataFrame([(1,), (2,)], "a int")
+    ok = spark.createDataFrame([(1, 5), (2, 6), (3, 7)], "a int, displ int")
+    assert {r.a: r.displ for r in align.displacement_of(pairs, ok, ["a"]).collect()} == {1: 5, 2: 6}
+    for bad in (ok.filter("a <> 2"), ok.union(ok.filter("a = 1"))):
+        with pytest.raises(Exception, match="displacements"):
+            align.displacement_of(pairs, bad, ["a"]).collect()

@@ -93,12 +93,31 @@ def sub_volumes(slices: int, step: int) -> list[tuple[int, int]]:
     return list(zip(ends[:-1], ends[1:], strict=True))
 
 
-def project(edges: DataFrame, keys: list[str]) -> DataFrame:
-    """The most reliable displacement of each edge and direction; the earliest layer of ties."""
+def project(edges: DataFrame, keys: list[str], pairs: DataFrame | None = None) -> DataFrame:
+    """The most reliable displacement of each edge and direction, to nine digits; the earliest layer of ties, and of one layer
+    the greatest values.
+
+    pairs (keys, default_displ, inv_width): edges that must be there; one without any displacement gets the nominal one,
+    with no peak, the invalid width and reliability 0.
+    """
     rel = reliability(F.col("peak").cast("double"), F.col("width"), F.col("inv_width"))
     cells = [c for c in edges.columns if c not in keys]
-    best = edges.withColumn("_r", rel).groupBy(*keys).agg(F.max_by(F.struct(*cells, "_r"), F.struct(F.col("_r"), -F.col("layer"))).alias("b"))
-    return best.select(*keys, *(F.col(f"b.{c}") for c in cells), F.col("b._r").alias("reliability"))
+    best = edges.withColumn("_r", rel).groupBy(*keys).agg(F.max(F.struct(F.round("_r", 9).alias("_k"), (-F.col("layer")).alias("_l"), *cells, "_r")).alias("b"))
+    out = best.select(*keys, *(F.col(f"b.{c}") for c in cells), F.col("b._r").alias("reliability"))
+    if pairs is None:
+        return out
+    none = pairs.join(out.select(*keys), keys, "left_anti")
+    told = {"displ": F.col("default_displ"), "default_displ": F.col("default_displ"), "inv_width": F.col("inv_width"), "width": F.col("inv_width"), "peak": F.lit(0.0)}
+    return out.unionByName(none.select(*keys, *(told.get(c, F.lit(None)).cast(edges.schema[c].dataType).alias(c) for c in cells), F.lit(0.0).alias("reliability")))
+
+
+def displacement_of(pairs: DataFrame, edges: DataFrame, keys: list[str]) -> DataFrame:
+    """Each pair with its displacement; a pair with none or with several fails."""
+    cells = [c for c in edges.columns if c not in keys]
+    told = edges.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *(F.first(c).alias(c) for c in cells))
+    wrong = F.raise_error(F.concat(F.lit("a pair has "), F.coalesce("_n", F.lit(0)).cast("string"), F.lit(" displacements")))
+    first = cells[0]
+    return pairs.join(told, keys, "left").withColumn(first, F.when(F.coalesce("_n", F.lit(0)) == 1, F.col(first)).otherwise(wrong.cast(edges.schema[first].dataType))).drop("_n")
 
 
 def threshold(projected: DataFrame, least: float) -> DataFrame:

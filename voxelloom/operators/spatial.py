@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.geometry import AXES, intersects
 
@@ -61,7 +62,8 @@ def halo(px: DataFrame, block: dict[str, int], pad: dict[str, int], shape: dict[
 
 
 def coverage_faults(blocks: DataFrame, shape: dict[str, int]) -> DataFrame:
-    """(fault, n): corners out of order or bounds, planes of z that no block covers, and pairs that overlap by more than a voxel on every axis."""
+    """(fault, n): corners out of order or bounds, planes of z that no block covers, pairs that overlap by more than a voxel on
+    every axis, and voxels of the volume's six faces that no block covers."""
     bad = F.lit(False)
     for c in AXES:
         bad = bad | (F.col(f"{c}1") < 1) | (F.col(f"{c}2") > shape[c]) | (F.col(f"{c}1") > F.col(f"{c}2"))
@@ -74,7 +76,27 @@ def coverage_faults(blocks: DataFrame, shape: dict[str, int]) -> DataFrame:
     for c in AXES:
         deep = deep & (F.least(f"a_{c}1", f"b_{c}1") - F.greatest(f"a_{c}0", f"b_{c}0") > 1)
     pairs = overlap_join(side("a_"), side("b_"), "a_", "b_", size).filter(F.col("a_block") < F.col("b_block")).filter(deep).agg(F.lit("overlap").alias("fault"), F.count(F.lit(1)).alias("n"))
-    return corners.unionAll(gaps).unionAll(pairs)
+    faces = face_gaps(blocks, shape).agg(F.lit("face gaps").alias("fault"), F.sum("n").alias("n"))
+    return corners.unionAll(gaps).unionAll(pairs).unionAll(faces)
+
+
+def face_gaps(blocks: DataFrame, shape: dict[str, int]) -> DataFrame:
+    """(axis, place, n): how many voxels of the first and the last plane across each axis no block covers.
+
+    Blocks become runs along the plane's second direction, one for each row, and the holes between sorted runs are
+    added up, so that no voxel is made a row.
+    """
+    spark, out = blocks.sparkSession, None
+    for axis in AXES:
+        u, v = [a for a in AXES if a != axis]
+        planes = spark.range(1).select(F.lit(axis).alias("axis"), F.explode(F.array(F.lit(1), F.lit(shape[axis]))).alias("place")).distinct()
+        rows = planes.withColumn("u", F.explode(F.sequence(F.lit(1), F.lit(shape[u]))))
+        runs = blocks.join(F.broadcast(planes), F.col("place").between(F.col(f"{axis}1"), F.col(f"{axis}2"))).select("axis", "place", F.explode(F.sequence(F.greatest(F.lit(1), f"{u}1"), F.least(F.lit(shape[u]), f"{u}2"))).alias("u"), F.greatest(F.lit(1), f"{v}1").alias("a"), F.least(F.lit(shape[v]), f"{v}2").alias("b"))  # two planes an axis
+        before = F.coalesce(F.max("b").over(Window.partitionBy("axis", "place", "u").orderBy("a").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        holes = runs.withColumn("hole", F.greatest(F.lit(0), F.col("a") - before - 1)).groupBy("axis", "place", "u").agg((F.sum("hole") + F.greatest(F.lit(0), shape[v] - F.max("b"))).alias("hole"))
+        one = rows.join(holes, ["axis", "place", "u"], "left").groupBy("axis", "place").agg(F.sum(F.coalesce("hole", F.lit(shape[v]))).cast("long").alias("n"))
+        out = one if out is None else out.unionAll(one)
+    return out
 
 
 def points_in_regions(points: DataFrame, edges: DataFrame, key: list[str], bin_size: float) -> DataFrame:

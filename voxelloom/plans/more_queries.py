@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import geometry as G
 from ..functions import names as N
 from ..functions import pixel as P
-from ..operators import align, decon, mosaic, reduce, register, tracing
+from ..operators import align, decon, mosaic, reduce, register, spatial, tracing
 from ..sources import inventory, readers
 from .volume_queries import _EDGES, _ST, PX, VX, _edges, _stack_pixels, planes, query, table, voxels
 
@@ -172,3 +172,47 @@ def normalised_volume(spark, sf_dir):
 def colour_planes(spark, sf_dir):
     a, b, c = (F.col("c_custkey") % k for k in (3, 5, 7))
     return table(spark, sf_dir, "customer").select("c_custkey", P.composite([a, b]).cast("array<long>").alias("two"), P.composite([a, b, c]).cast("array<long>").alias("three"))
+
+
+@query("""select p_partkey as stack, least(p_partkey % 5, p_size % 7) as present, p_size % 7 as wanted, case when least(p_partkey % 5, p_size % 7) = p_size % 7 then 'complete' when p_partkey % 5 = 0 then 'empty' else 'sparse' end as state from (select cast(p_partkey as bigint) as p_partkey, cast(p_size as bigint) as p_size from part)""")
+def stack_completeness(spark, sf_dir):
+    k, s = F.col("p_partkey"), F.col("p_size")
+    stacks = table(spark, sf_dir, "part").select(k.alias("stack"), (k % 11).alias("z0"), (k % 11 + s % 7).alias("z1"))
+    held = stacks.withColumn("n", (F.col("stack") % 5).cast("int")).filter("n > 0").select("stack", F.explode(F.sequence("z0", F.col("z0") + F.col("n") - 1)).alias("z"))
+    return inventory.completeness(stacks, held.union(held.limit(9)), ["stack"])
+
+
+@query("""select p_partkey, cast(row_number() over (order by p_size * (p_partkey % 9 + 1) desc, p_partkey) - 1 as integer) as place, cast((row_number() over (order by p_size * (p_partkey % 9 + 1) desc, p_partkey) - 1) % 6 as integer) as worker from part""")
+def largest_jobs_first(spark, sf_dir):
+    return inventory.largest_first(table(spark, sf_dir, "part").select("p_partkey", "p_size"), F.col("p_size") * (F.col("p_partkey") % 9 + 1), "p_partkey", 6).select("p_partkey", "place", "worker")
+
+
+@query("""select c_nationkey, c_custkey from (select *, row_number() over (partition by c_nationkey order by c_custkey) - 1 as n from customer) where n >= 2 and n < 5""")
+def frame_slice(spark, sf_dir):
+    return inventory.frames(table(spark, sf_dir, "customer").select("c_nationkey", "c_custkey"), ["c_nationkey"], "c_custkey", 2, 5)
+
+
+@query(f"""with {_EDGES}, b as (select *, row_number() over (partition by r0, c0, dir order by round(rel, 9) desc, layer, displ desc, default_displ desc, peak desc, width desc, inv_width desc) as k from er), p as (select r0, c0, dir from range(44) a(r0), range(7) b(c0), (values ('V'), ('H'), ('D')) d(dir))
+select cast(p.r0 as integer) as r0, cast(p.c0 as integer) as c0, p.dir, coalesce(displ, 11) as displ, coalesce(width, 33) as width, round(coalesce(peak, 0.0), 9) as peak, round(coalesce(rel, 0.0), 9) as reliability from p left join (select * from b where k = 1) b on p.r0 = b.r0 and p.c0 = b.c0 and p.dir = b.dir""")
+def nominal_displacements(spark, sf_dir):
+    pairs = spark.range(44).select(F.col("id").cast("int").alias("r0"), F.explode(F.sequence(F.lit(0), F.lit(6))).alias("c0")).withColumn("dir", F.explode(F.array(F.lit("V"), F.lit("H"), F.lit("D")))).select("*", F.lit(11).alias("default_displ"), F.lit(33).alias("inv_width"))
+    out = align.project(_edges(spark, sf_dir).dropDuplicates(), ["r0", "c0", "dir"], pairs)
+    return out.select("r0", "c0", "dir", "displ", "width", F.round("peak", 9).alias("peak"), F.round("reliability", 9).alias("reliability"))
+
+
+@query("""with n as (select n_nationkey % 5 as x, n_nationkey // 5 as y, n_nationkey * 7 % 11 as displ from nation) select cast(a.x as integer) as x, cast(a.y as integer) as y, cast(a.displ as bigint) as displ from n a where a.x < 4""")
+def pair_displacements(spark, sf_dir):
+    k = F.col("n_nationkey")
+    grid = table(spark, sf_dir, "nation").select((k % 5).cast("int").alias("x"), F.floor(k / 5).cast("int").alias("y"), (k * 7 % 11).cast("long").alias("displ"))
+    return align.displacement_of(grid.filter("x < 4").select("x", "y"), grid, ["x", "y"])
+
+
+@query("""with b as (select p_partkey % 10 * 10 + 1 as x1, least(p_partkey % 10 * 10 + 10, 97) as x2, p_partkey // 10 % 6 * 8 + 1 as y1, p_partkey // 10 % 6 * 8 + 8 - cast(p_partkey % 7 = 0 as integer) as y2 from part where p_partkey % 11 <> 3),
+c as (select distinct x, y from (select y, unnest(range(x1, x2 + 1)) as x from (select x1, x2, unnest(range(y1, y2 + 1)) as y from b)) where x <= 97 and y <= 48),
+x as (select 1 as place, count(distinct y) as n from c where x = 1 union all select 97, count(distinct y) from c where x = 97), y as (select 1 as place, count(distinct x) as n from c where y = 1 union all select 48, count(distinct x) from c where y = 48)
+select 'x' as axis, place, cast((48 - n) * 4 as bigint) as n from x union all select 'y', place, cast((97 - n) * 4 as bigint) from y union all select 'z', place, cast(97 * 48 - (select count(*) from c) as bigint) from (values (1), (4)) t(place)""")
+def block_face_gaps(spark, sf_dir):
+    k = F.col("p_partkey")
+    row = F.floor(k / 10) % 6
+    b = table(spark, sf_dir, "part").filter(k % 11 != 3).select(k.alias("block"), (k % 10 * 10 + 1).alias("x1"), F.least(k % 10 * 10 + 10, F.lit(97)).alias("x2"), (row * 8 + 1).alias("y1"), (row * 8 + 8 - (k % 7 == 0).cast("int")).alias("y2"), F.lit(1).alias("z1"), F.lit(4).alias("z2"))
+    return spatial.face_gaps(b, {"x": 97, "y": 48, "z": 4}).select("axis", F.col("place").cast("int").alias("place"), "n")

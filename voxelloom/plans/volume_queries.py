@@ -666,7 +666,7 @@ def block_grid(spark, sf_dir):
     return spatial.block_grid({"x": 200, "y": 150, "z": 50}, {"x": 30, "y": 30, "z": 16}, spark).select("block", "x1", "x2", "y1", "y2", "z1", "z2")
 
 
-@query("""select f as fault, n from (values ('corners', 0::bigint), ('uncovered z', 0::bigint), ('overlap', 0::bigint)) t(f, n)""")
+@query("""select f as fault, n from (values ('corners', 0::bigint), ('uncovered z', 0::bigint), ('overlap', 0::bigint), ('face gaps', 0::bigint)) t(f, n)""")
 def block_coverage(spark, sf_dir):
     shape = {"x": 200, "y": 150, "z": 50}
     return spatial.coverage_faults(spatial.block_grid(shape, {"x": 30, "y": 30, "z": 16}, spark), shape)

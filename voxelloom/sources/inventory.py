@@ -84,6 +84,27 @@ def missing_planes(stacks: DataFrame, planes: DataFrame, keys: list[str], step:
     return want.join(planes.select(*keys, "z"), [*keys, "z"], "left_anti").withColumn("name", F.format_string("%06d", (F.col("z") * step * 10).cast("int")))
 
 
+def completeness(stacks: DataFrame, planes: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, present, wanted, state) of stacks (z0, z1): how many of its planes a stack has, and whether that makes it empty,
+    sparse or complete. Planes outside the range, and repeated ones, don't count."""
+    held = stacks.join(planes.select(*keys, "z").distinct(), keys).filter((F.col("z") >= F.col("z0")) & (F.col("z") < F.col("z1"))).groupBy(*keys).agg(F.count(F.lit(1)).alias("present"))
+    out = stacks.select(*keys, (F.col("z1") - F.col("z0")).cast("long").alias("wanted")).join(held, keys, "left").withColumn("present", F.coalesce("present", F.lit(0)))
+    return out.select(*keys, "present", "wanted", F.when(F.col("present") == F.col("wanted"), "complete").when(F.col("present") == 0, "empty").otherwise("sparse").alias("state"))
+
+
+def largest_first(jobs: DataFrame, size: Column, key: str, workers: int) -> DataFrame:
+    """The jobs with `place`, their order by falling size and then key, and `worker`, as they are dealt in that order.
+    Jobs are the metadata of a run."""
+    order = F.row_number().over(Window.orderBy(size.desc(), F.col(key))) - 1
+    return jobs.withColumn("place", order).withColumn("worker", F.col("place") % workers)
+
+
+def frames(rows: DataFrame, keys: list[str], order: str, start: int, end: int | None = None) -> DataFrame:
+    """The frames [start, end) of each series in its order, counted from 0; all from start on without an end."""
+    n = F.row_number().over(Window.partitionBy(*keys).orderBy(order)) - 1
+    return rows.withColumn("_n", n).filter(F.col("_n") >= start if end is None else F.col("_n").between(start, end - 1)).drop("_n")
+
+
 def preview_order(z: Column, start: int, most: int = 6) -> Column:
     """Sorts planes so that a coarse preview comes first: by the powers of ten that divide their distance."""
     level = F.lit(0)
