@@ -729,8 +729,12 @@ def deconvolved_blocks(spark, sf_dir):
     return decon.normalised(out, 255.0, 1.0).select("z", "y", "x", F.col("v").cast("int").alias("v"))
 
 
-@query()
+@query(f"""with {PX}, a as (select cast(y + 8 * z as bigint) as y, x, v from px), b as (select y + 1 as y, x + 1 as x, (v * 3) // 2 + x as v from a), o as (select i // 5 - 2 as dy, i % 5 - 2 as dx, i as ord from range(25) r(i)),
+s as (select dy, dx, ord, corr(a.v, b.v) as s from b, o, a where a.y = b.y + dy and a.x = b.x + dx group by all)
+select cast(0 as integer) as k, cast(dy as integer) as dy, cast(dx as integer) as dx, round(s, 6) as score from (select *, row_number() over (order by s desc, ord) as n from s) where n = 1""")
 def registered_pair(spark, sf_dir):
+    """The shift of a second channel, brighter and moved by a place down and right."""
     px = planes(spark, sf_dir)
-    a = px.withColumn("k", F.lit(0)).withColumn("y", F.col("y") + 8 * F.col("z").cast("int"))
-    return register.translation(a, a.withColumn("y", F.col("y") + 1), "k", 2)
+    a = px.select(F.lit(0).alias("k"), (F.col("y") + 8 * F.col("z")).alias("y"), "x", "v")
+    b = a.select("k", (F.col("y") + 1).alias("y"), (F.col("x") + 1).alias("x"), (F.floor(F.col("v") * 3 / 2) + F.col("x")).alias("v"))
+    return register.translation(a, b, "k", 2).select("k", "dy", "dx", F.round("score", 6).alias("score"))
