@@ -12,26 +12,29 @@ def _cell(c: str, k: int) -> Column:
     return F.floor(F.col(c) / k).cast("int").alias(c) if k > 1 else F.col(c).alias(c)
 
 
-def block_reduce(px: DataFrame, factors: dict[str, int], how: str, keys: list[str] | None = None) -> DataFrame:
-    """Blocks of the given sizes by max, min, mean, median or sum. Ragged blocks are filled with zeros, as a
-    padded array would be: a mean divides by the full size, and min and median see the zeros."""
-    full = math.prod(factors.values())
-    groups = [*(F.col(k) for k in keys or []), *(_cell(c, k) for c, k in factors.items())]
+def _block_value(how: str, full: int) -> Column:
     n, v = F.count("v"), F.col("v")
     if how == "max":
-        out = F.when(n < full, F.greatest(F.max(v), F.lit(0))).otherwise(F.max(v))
-    elif how == "min":
-        out = F.when(n < full, F.least(F.min(v), F.lit(0))).otherwise(F.min(v))
-    elif how == "mean":
-        out = F.sum(v) / F.lit(float(full))
-    elif how == "sum":
-        out = F.sum(v)
-    elif how == "median":
+        return F.when(n < full, F.greatest(F.max(v), F.lit(0))).otherwise(F.max(v))
+    if how == "min":
+        return F.when(n < full, F.least(F.min(v), F.lit(0))).otherwise(F.min(v))
+    if how == "mean":
+        return F.sum(v) / F.lit(float(full))
+    if how == "sum":
+        return F.sum(v)
+    if how == "median":
         middle = F.sort_array(F.concat(F.collect_list(v.cast("double")), F.array_repeat(F.lit(0.0), (full - n).cast("int"))))
-        out = (F.element_at(middle, full // 2 + 1) + F.element_at(middle, (full + 1) // 2)) / 2  # a block is small by its factors
-    else:
-        raise ValueError(how)
-    return px.groupBy(*groups).agg(out.alias("v"))
+        return (F.element_at(middle, full // 2 + 1) + F.element_at(middle, (full + 1) // 2)) / 2  # a block is small by its factors
+    raise ValueError(how)
+
+
+def block_reduce(px: DataFrame, factors: dict[str, int], how: str | tuple[str, ...], keys: list[str] | None = None) -> DataFrame:
+    """Blocks of the given sizes by max, min, mean, median or sum, as v; several at once have their own names. Ragged blocks
+    are filled with zeros, as a padded array would be: a mean divides by the full size, and min and median see the zeros."""
+    full = math.prod(factors.values())
+    groups = [*(F.col(k) for k in keys or []), *(_cell(c, k) for c, k in factors.items())]
+    out = [_block_value(how, full).alias("v")] if isinstance(how, str) else [_block_value(h, full).alias(h) for h in how]
+    return px.groupBy(*groups).agg(*out)
 
 
 def alternating(px: DataFrame, sizes: dict[str, int], target: float, voxel: dict[str, float], keys: list[str] | None = None) -> tuple[DataFrame, dict[str, int]]:
