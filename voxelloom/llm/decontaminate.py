@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from .storage import written
 from .textkit import LOWER, NOT_ALNUM, U64, Words, slices
 
-SHARD_BYTES = 1 << 21
+SHARD_BYTES = 1 << 20
 _RESULT = "doc_id long, n_words long, n_hit long, items array<string>, longest array<long>, item_at array<long>, doc_at array<long>"
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from .automaton import Dfa, build
 from .textkit import slices
 
-SCAN_BYTES = 1 << 22
+SCAN_BYTES = 1 << 20
 PIECE = 64
 #: So few pieces aren't worth a step of all.
 FEW = 8
